@@ -43,7 +43,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """Write df to the shared folder and read it back: lineage ends there and a lost executor costs nothing.
+
+    The table is deleted when the driver's JVM ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
