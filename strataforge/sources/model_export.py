@@ -51,7 +51,7 @@ def validate_export(spark: SparkSession, folder: str) -> list[str]:
         if name == "erwin_columns.csv":
             again = F.row_number().over(Window.partitionBy(*needed).orderBy("_row")) > 1
             problems.append(F.when(again, F.concat(F.lit("duplicate physical object + column: ('"), F.col(needed[0]), F.lit("', '"), F.col(needed[1]), F.lit("')"))))
-        listed = df.select("_row", F.posexplode(F.array(*problems)).alias("n", "problem")).where("problem is not null")
+        listed = df.select("_row", F.array(*problems).alias("_p")).select("_row", F.posexplode("_p").alias("n", "problem")).where("problem is not null")
         found += [(name, r["_row"], r["problem"]) for r in listed.orderBy("_row", "n").collect()]
     return errors + [f"{name}:{row} {problem}" for name, row, problem in found]
 
