@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataforge.llm.spans import merge_spans
 from strataforge.llm.textbuf import Fingerprints, text_blocks
 from strataforge.session import materialise
 
@@ -32,6 +34,8 @@ SEPARATOR = 0
 
 _SPANS = "doc_id bigint, item_id bigint, span_start bigint, span_end bigint"
 _WORD = re.compile(r"[a-z0-9]+")
+#: Stretches no cut may go through: all that can be in a word, whatever its case.
+_WORDLIKE = re.compile("[A-Za-z0-9\u0130\u212a]+")
 #: 1 to 36 for what can stand in a word, upper case as lower case; 0 for all other bytes.
 _LETTER = np.zeros(256, np.uint8)
 for _i, _c in enumerate(b"0123456789abcdefghijklmnopqrstuvwxyz"):
@@ -54,6 +58,20 @@ def _chars(data: bytes) -> int:
     return len(data) - int(np.count_nonzero((np.frombuffer(data, np.uint8) & 0xC0) == 0x80))
 
 
+def cut_at_words(text: str, chars: int, words: int) -> Iterator[tuple[int, str]]:
+    """Offset and text of pieces of about ``chars`` characters that end with a whole word and begin words - 1 words before the
+    end of the piece before, so that every ``words`` consecutive words lie in exactly one piece."""
+    begin, recent, end = 0, deque(maxlen=max(1, words - 1)), 0
+    for word in _WORDLIKE.finditer(text):
+        end = word.end()
+        recent.append(word.start())
+        if end - begin >= chars and recent[0] > begin:
+            yield begin, text[begin:end]
+            begin, end = recent[0], 0
+    if end:
+        yield begin, text[begin:end]
+
+
 class WaveletMatrix:
     """rank(c, i): how often symbol c stands before position i; one pass over the bits of c."""
 
@@ -234,7 +252,7 @@ def _search_pass(docs: DataFrame, items: list[tuple[int, str]], words: int, char
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases([tuple(x) for x in json.loads(told.value)], words)
-        for keys, offsets, texts in text_blocks(batches, chars):
+        for keys, offsets, texts in text_blocks(batches, chars, lambda t: cut_at_words(t, chars, words)):
             found = search_shard(texts, phrases)
             if found:
                 t, item, begin, end = (np.array(c, np.int64) for c in zip(*found))
@@ -248,8 +266,8 @@ def leaked_spans(docs: DataFrame, items: DataFrame, words: int = WORDS, *, shard
 
     ``docs``: doc_id, text; ``items``: item_id, item_text. The corpus stays where it is: each task indexes and searches its
     own shards. Items are gathered in blocks of at most ``per_pass`` characters, each searched in its own pass over the
-    corpus. Null and empty texts and items shorter than ``words`` words match nothing. A document found under one
-    doc_id in several rows gives the rows of each.
+    corpus. Null and empty texts and items shorter than ``words`` words match nothing. Very long texts are cut at words and their
+    spans put together again.
     """
     usable = items.select(F.col("item_id").cast("long").alias("item_id"), "item_text").where("item_id is not null and item_text is not null")
     total = usable.agg(F.sum(F.length("item_text"))).first()[0] or 0
@@ -260,4 +278,5 @@ def leaked_spans(docs: DataFrame, items: DataFrame, words: int = WORDS, *, shard
         one = _search_pass(docs, [(r.item_id, r.item_text) for r in block.collect()], words, shard)
         one = one if passes == 1 else materialise(one, "leaked-spans")
         found = one if found is None else found.unionByName(one)
-    return found
+    # Spans that reach over the cut of a very long text come in parts.
+    return merge_spans(found, "doc_id", "item_id")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataforge.llm.textbuf import Fingerprints, code_points, text_blocks
+from strataforge.llm.textbuf import Fingerprints, code_points, cut_at_characters, text_blocks
 from strataforge.session import materialise
 
 #: Characters a stretch must have, and characters of the substrings its prefix key is chosen from.
@@ -76,7 +76,7 @@ def segments(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, block:
     schema = pa.schema([("key", pa.int64()), ("seg", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int64()), ("n", pa.int32())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, offsets, texts in text_blocks(batches, block, length - 1):
+        for keys, offsets, texts in text_blocks(batches, block, lambda t: cut_at_characters(t, block, length - 1)):
             no, at, n, key, seg = cut_segments(texts, length, prefix)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(seg), pa.array(keys[no]), pa.array(at + offsets[no]), pa.array(n.astype(np.int32))], schema=schema)
 
@@ -198,13 +198,14 @@ def _long_prefixes(hot: DataFrame, length: int) -> DataFrame:
     return kept.select("key", "seg", "begin", (F.col("begin") + length).alias("end"))
 
 
-def merge_spans(spans: DataFrame) -> DataFrame:
-    """doc_id, span_start, span_end of the longest runs covered by spans (doc_id, span_start, span_end) that overlap or touch."""
-    w = Window.partitionBy("doc_id").orderBy("span_start", "span_end")
+def merge_spans(spans: DataFrame, *keys: str) -> DataFrame:
+    """keys, span_start, span_end of the longest runs covered by spans that overlap or touch, by keys (doc_id)."""
+    by = keys or ("doc_id",)
+    w = Window.partitionBy(*by).orderBy("span_start", "span_end")
     reach = F.max("span_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.withColumn("fresh", F.when(F.col("span_start") <= reach, 0).otherwise(1))
     runs = marked.withColumn("run", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy("doc_id", "run").agg(F.min("span_start").alias("span_start"), F.max("span_end").alias("span_end")).drop("run")
+    return runs.groupBy(*by, "run").agg(F.min("span_start").alias("span_start"), F.max("span_end").alias("span_end")).drop("run")
 
 
 def shared_spans(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, *, block: int = CHARS_PER_BLOCK, tree: int = CHARS_PER_TREE, segments_per_key: int = SEGMENTS_PER_KEY) -> DataFrame:

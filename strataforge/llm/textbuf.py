@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,11 +57,17 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return joined, starts
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], chars: int, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
+def cut_at_characters(text: str, chars: int, overlap: int) -> Iterator[tuple[int, str]]:
+    """Offset and text of pieces of ``chars`` characters, each with the next ``overlap`` ones: every stretch of overlap + 1
+    characters begins in exactly one piece's own part."""
+    for at in range(0, len(text) - overlap, chars):
+        yield at, text[at : at + chars + overlap]
+
+
+def text_blocks(batches: Iterator[pa.RecordBatch], chars: int, cut: Callable[[str], Iterator[tuple[int, str]]]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
     """Keys, offsets and texts of (key, text) batches in blocks of about ``chars`` characters; null and empty texts are left out.
 
-    A text longer than a block comes in pieces, each with its offset in the text; consecutive pieces share ``overlap``
-    characters, so that every stretch of overlap + 1 characters lies in exactly one piece's own part plus overlap.
+    A text longer than a block comes in the pieces ``cut`` makes of it, each with its offset in the text.
     """
     keys: list[int] = []
     offsets: list[int] = []
@@ -72,8 +78,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], chars: int, overlap: int = 0)
             text = value.as_py()
             if key is None or not text:
                 continue
-            for at in range(0, max(1, len(text) - overlap), chars):
-                piece = text[at : at + chars + overlap] if len(text) > chars + overlap else text
+            for at, piece in cut(text) if len(text) > chars else ((0, text),):
                 keys.append(key)
                 offsets.append(at)
                 texts.append(piece)
@@ -81,7 +86,5 @@ def text_blocks(batches: Iterator[pa.RecordBatch], chars: int, overlap: int = 0)
                 if size >= chars:
                     yield np.array(keys, np.int64), np.array(offsets, np.int64), texts
                     keys, offsets, texts, size = [], [], [], 0
-                if piece is text:
-                    break
     if texts:
         yield np.array(keys, np.int64), np.array(offsets, np.int64), texts
