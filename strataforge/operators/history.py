@@ -14,73 +14,75 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataforge.functions.values import open_end
+from strataforge.operators.sliced import ROWS_PER_SLICE, last_known, neighbours, numbered, with_slices
+from strataforge.session import materialise
 
 #: An event of this position in its entity's history (0, 16, 32, ...) is stored whole.
 EVERY = 16
+#: The slice of a cut entity's snapshot events, which follow all its versions.
+AFTER_ALL = 2_000_000_000
 
 
-def delta_store(events: DataFrame, attrs: Sequence[str], every: int = EVERY) -> DataFrame:
-    """entity, seq, at, is_end, segment, is_checkpoint, patch of events with entity, ord, at, is_end and the attributes.
+def delta_store(events: DataFrame, attrs: Sequence[str], every: int = EVERY, cut: bool = False) -> DataFrame:
+    """entity, slice, seq, at, is_end, segment, is_checkpoint, patch of events with entity, slice, ord, at, is_end and the attributes.
 
-    ``ord`` gives an entity's events their order. ``patch`` has, for each attribute, a struct(v) or null where the
-    attribute is as before; a value that became null is struct(null). The first event after an end is stored whole.
+    ``ord`` gives an entity's events their order and ``slice`` (see sliced) mustn't fall along it. ``patch`` has, for each
+    attribute, a struct(v) or null where the attribute is as before; a value that became null is struct(null). The first
+    event after an end is stored whole.
     """
-    in_order = Window.partitionBy("entity").orderBy("ord")
-    prior = F.struct(*attrs)
-    numbered = events.select(
-        "entity", "at", "is_end", *attrs,
-        (F.row_number().over(in_order) - 1).alias("seq"),
-        F.lag(prior).over(in_order).alias("prior"),
-        F.lag("is_end").over(in_order).alias("after_end"),
-    )
-    whole = (F.col("seq") % every == 0) | F.col("after_end")
+    in_order = neighbours(numbered(events, "entity", ["ord"], cut, "seq"), "entity", ["ord"], cut, before="prior", columns=["is_end", *attrs])
+    whole = (F.col("seq") % every == 0) | F.coalesce("prior.is_end", F.lit(True))
 
     def patch(a: str) -> Column:
         changed = whole | ~F.col(a).eqNullSafe(F.col(f"prior.{a}"))
         return F.when(changed & ~F.col("is_end"), F.struct(F.col(a).alias("v"))).alias(a)
 
-    numbered = numbered.withColumn("segment", F.floor(F.col("seq") / every))
-    return numbered.select("entity", "seq", "at", "is_end", "segment", (whole & ~F.col("is_end")).alias("is_checkpoint"), F.struct(*[patch(a) for a in attrs]).alias("patch"))
+    segment = F.floor(F.col("seq") / every)
+    return in_order.select("entity", "slice", "seq", "at", "is_end", segment.alias("segment"), (whole & ~F.col("is_end")).alias("is_checkpoint"), F.struct(*[patch(a) for a in attrs]).alias("patch"))
 
 
-def reconstruct(store: DataFrame, attrs: Sequence[str]) -> DataFrame:
+def reconstruct(store: DataFrame, attrs: Sequence[str], cut: bool = False) -> DataFrame:
     """entity, effective_from, effective_to and the attributes of every version; the open one ends at the open end."""
-    in_order = Window.partitionBy("entity").orderBy("seq")
     folded = Window.partitionBy("entity", "segment").orderBy("seq")
-    end = F.coalesce(F.lead("at").over(in_order), open_end())
-    rows = store.select(
-        "entity", "is_end", F.col("at").alias("effective_from"), end.alias("effective_to"),
-        *[F.last(f"patch.{a}", ignorenulls=True).over(folded)["v"].alias(a) for a in attrs],
-    )
-    return rows.where("not is_end").drop("is_end")
+    values = store.select("entity", "slice", "seq", "is_end", "at", *[F.last(f"patch.{a}", ignorenulls=True).over(folded)["v"].alias(a) for a in attrs])
+    rows = neighbours(values, "entity", ["seq"], cut, after="following", columns=["at"])
+    return rows.where("not is_end").select("entity", F.col("at").alias("effective_from"), F.coalesce("following.at", open_end()).alias("effective_to"), *attrs)
 
 
-def merged_versions(versions: DataFrame, attrs: Sequence[str], hash_col: str) -> DataFrame:
+def single_versions(versions: DataFrame, attrs: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> tuple[DataFrame, bool]:
+    """Versions with an entity and a begin, each version_id once, with their slice; and whether an entity had to be cut."""
+    row = F.max(F.struct("entity", "valid_from", "valid_until", *attrs)).alias("r")
+    single = versions.where("entity is not null and valid_from is not null").groupBy("version_id").agg(row).select("version_id", "r.*")
+    return with_slices(single, "entity", "valid_from", rows_per_slice)
+
+
+def merged_versions(single: DataFrame, attrs: Sequence[str], hash_col: str, cut: bool) -> DataFrame:
     """Periods in force, those that follow without a gap and have the same hash made one.
 
-    Input: entity, version_id, valid_from, valid_until (open_end where open) and attributes. A repeated version_id is one
-    version. A version is in force until the earlier of its end and the entity's next begin.
+    Input: single_versions, valid_until open_end where open. A version is in force until the earlier of its end and the
+    entity's next begin. Output: entity, slice, valid_from, valid_until, gap (nothing begins where it ends) and the
+    attributes of the first version.
     """
-    cols = ["entity", "valid_from", "valid_until", *attrs]
-    single = versions.where("entity is not null and valid_from is not null").groupBy("version_id").agg(F.max(F.struct(*cols)).alias("r")).select("version_id", "r.*")
-    w = Window.partitionBy("entity").orderBy("valid_from", "version_id")
-    cut = single.withColumn("until", F.least("valid_until", F.coalesce(F.lead("valid_from").over(w), open_end()))).where("valid_from < until")
-    follows = (F.lag("until").over(w) == F.col("valid_from")) & F.lag(hash_col).over(w).eqNullSafe(F.col(hash_col))
-    starts = cut.withColumn("starts", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1))
-    runs = starts.withColumn("run", F.sum("starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    first = F.min(F.struct("valid_from", "version_id", F.struct(*attrs).alias("a")))
-    one = runs.groupBy("entity", "run").agg(first.alias("f"), F.max("until").alias("valid_until"))
-    return one.select("entity", F.col("f.valid_from").alias("valid_from"), "valid_until", "f.a.*")
+    order = ["valid_from", "version_id"]
+    placed = neighbours(single, "entity", order, cut, after="following", columns=["valid_from"])
+    kept = placed.withColumn("until", F.least("valid_until", F.coalesce("following.valid_from", open_end()))).where("valid_from < until").drop("following")
+    beside = neighbours(kept, "entity", order, cut, after="following", before="prior", columns=["valid_from", "until", hash_col])
+    goes_on = F.coalesce((F.col("prior.until") == F.col("valid_from")) & F.col(f"prior.{hash_col}").eqNullSafe(F.col(hash_col)), F.lit(False))
+    gap = (F.col("until") != open_end()) & ~F.coalesce(F.col("following.valid_from") == F.col("until"), F.lit(False))
+    starts = beside.withColumns({"start": F.when(~goes_on, F.col("valid_from")), "gap": gap})
+    runs = last_known(starts, "entity", order, cut, "start", "run")
+    first = F.min(F.struct(*order, "slice", F.struct(*attrs).alias("a")))
+    one = runs.groupBy("entity", "run").agg(first.alias("f"), F.max(F.struct("valid_from", "until", "gap")).alias("l"))
+    return one.select("entity", "f.slice", "f.valid_from", F.col("l.until").alias("valid_until"), "l.gap", "f.a.*")
 
 
 def _version_events(versions: DataFrame, attrs: Sequence[str]) -> DataFrame:
-    """A set event for each version, and an end event where the next one doesn't follow at once (but not at an open end)."""
-    w = Window.partitionBy("entity").orderBy("valid_from")
-    gap = (F.col("valid_until") != open_end()) & ~F.coalesce(F.lead("valid_from").over(w) == F.col("valid_until"), F.lit(False))
-    part = versions.withColumn("gap", gap).withColumn("is_end", F.explode(F.when(F.col("gap"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    """A set event for each version, and an end event where nothing begins at its end (but not at an open end)."""
+    kinds = F.when(F.col("gap"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    part = versions.withColumn("is_end", F.explode(kinds))
     at = F.when(F.col("is_end"), F.col("valid_until")).otherwise(F.col("valid_from"))
     order = F.struct(F.lit(0).alias("part"), F.col("valid_from").alias("at"), F.col("is_end").cast("int").alias("n"))
-    return part.select("entity", order.alias("ord"), at.alias("at"), "is_end", *attrs)
+    return part.select("entity", "slice", order.alias("ord"), at.alias("at"), "is_end", *attrs)
 
 
 def snapshot_events(base: DataFrame, snapshots: DataFrame, calendar: DataFrame, attrs: Sequence[str], hash_col: str) -> DataFrame:
@@ -96,12 +98,12 @@ def snapshot_events(base: DataFrame, snapshots: DataFrame, calendar: DataFrame,
     state = base.groupBy("entity").agg(
         F.max(open_row).alias("open"),
         F.max(F.greatest("valid_from", F.when(F.col("valid_until") != open_end(), F.col("valid_until")))).alias("latest"),
+        F.max(F.when(F.col("slice") >= 0, F.lit(AFTER_ALL))).alias("slice"),
     )
     days = F.broadcast(calendar)
     element = F.struct("at", "next_at", "rec")
     steps = snapshots.join(days, "at").groupBy("entity").agg(F.sort_array(F.collect_list(F.struct(F.col("at"), element.alias("e")))).alias("steps"))
-    first_day = calendar.agg(F.min("at").alias("first_at"))
-    both = state.join(steps, "entity", "full_outer").join(F.broadcast(first_day))
+    both = state.join(steps, "entity", "full_outer").withColumn("first_at", calendar.agg(F.min("at")).scalar())
     rec_type = dict(snapshots.dtypes)["rec"]
     event_type = f"array<struct<at:{ts},is_end:boolean,rec:{rec_type}>>"
     acc_type = f"struct<open:struct<h:string>,latest:{ts},due:{ts},events:{event_type}>"
@@ -135,17 +137,19 @@ def snapshot_events(base: DataFrame, snapshots: DataFrame, calendar: DataFrame,
 
     elements = F.transform(F.coalesce("steps", F.array().cast(dict(steps.dtypes)["steps"])), lambda s: s["e"])
     last = F.aggregate(elements, start, step, lambda acc: end_if_missed(acc, acc["due"].isNotNull())["events"])
-    events = both.select("entity", F.posexplode(last).alias("n", "v"))
+    events = both.select("entity", F.coalesce("slice", F.lit(-1)).alias("slice"), F.posexplode(last).alias("n", "v"))
     order = F.struct(F.lit(1).alias("part"), F.lit(None).cast(ts).alias("at"), F.col("n").cast("int").alias("n"))
-    return events.select("entity", order.alias("ord"), F.col("v.at").alias("at"), F.col("v.is_end").alias("is_end"), *[F.col(f"v.rec.{a}").alias(a) for a in attrs])
+    return events.select("entity", "slice", order.alias("ord"), F.col("v.at").alias("at"), F.col("v.is_end").alias("is_end"), *[F.col(f"v.rec.{a}").alias(a) for a in attrs])
 
 
-def entity_history(versions: DataFrame, snapshots: DataFrame, calendar: DataFrame, attrs: Sequence[str], hash_col: str, every: int = EVERY) -> DataFrame:
+def entity_history(versions: DataFrame, snapshots: DataFrame, calendar: DataFrame, attrs: Sequence[str], hash_col: str, every: int = EVERY, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """The whole history of every entity, stored as checkpoints and patches and folded out again.
 
     Nulls: rows without entity, versions without begin and snapshots without date are no rows; null attributes are
     values. Empty tables: no versions give the snapshots' history, no snapshots leave the versions as they are.
     """
-    base = merged_versions(versions, attrs, hash_col)
+    single, cut = single_versions(versions, attrs, rows_per_slice)
+    base = merged_versions(single, attrs, hash_col, cut)
+    base = materialise(base, "versions") if cut else base
     events = _version_events(base, attrs).unionByName(snapshot_events(base, snapshots, calendar, attrs, hash_col))
-    return reconstruct(delta_store(events, attrs, every), attrs)
+    return reconstruct(delta_store(events, attrs, every, cut), attrs, cut)

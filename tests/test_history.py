@@ -46,10 +46,10 @@ def brute(versions, snapshots, days):
     return sorted(out, key=str)
 
 
-def run(spark, versions, snapshots, days, every=3):
+def run(spark, versions, snapshots, days, every=3, rows_per_slice=1_000_000):
     cal = spark.createDataFrame([(d, days[i + 1] if i + 1 < len(days) else None) for i, d in enumerate(days)], "at timestamp_ntz, next_at timestamp_ntz")
     v = spark.createDataFrame(versions, VERSIONS).withColumn("valid_until", until(F.col("valid_until")))
-    h = entity_history(v, spark.createDataFrame(snapshots, SNAPSHOTS), cal, ["record_hash", "colour"], "record_hash", every)
+    h = entity_history(v, spark.createDataFrame(snapshots, SNAPSHOTS), cal, ["record_hash", "colour"], "record_hash", every, rows_per_slice)
     rows = h.collect()
     assert all(r.colour == r.record_hash for r in rows)  # the attributes came through the patches
     return sorted([(r.entity, r.effective_from, r.effective_to, r.record_hash) for r in rows], key=str)
@@ -74,7 +74,10 @@ def test_history_against_brute_force(spark):
             h = r.choice("abc")
             eff = r.choice([None, day - dt.timedelta(days=r.randint(1, 90)), day + dt.timedelta(hours=3)])
             snapshots.append((e, day, None if kind < 0.35 else (eff, h, h)))
-    assert run(spark, versions, snapshots, days) == brute(versions, snapshots, days)
+    want = brute(versions, snapshots, days)
+    assert run(spark, versions, snapshots, days) == want
+    # The same with entities cut into slices of a few versions.
+    assert run(spark, versions, snapshots, days, rows_per_slice=3) == want
 
 
 def test_empty_sides_and_nulls(spark):
@@ -87,7 +90,7 @@ def test_empty_sides_and_nulls(spark):
 
 
 def test_store_keeps_only_changes_between_checkpoints(spark):
-    events = spark.createDataFrame([("A", i, D(i), False, "h" + str(i), "red" if i < 5 else None) for i in range(10)], "entity string, ord int, at timestamp_ntz, is_end boolean, record_hash string, colour string")
+    events = spark.createDataFrame([("A", i, D(i), False, "h" + str(i), "red" if i < 5 else None) for i in range(10)], "entity string, ord int, at timestamp_ntz, is_end boolean, record_hash string, colour string").withColumn("slice", F.lit(-1))
     store = delta_store(events, ["record_hash", "colour"], every=4)
     rows = store.orderBy("seq").collect()
     assert [x.is_checkpoint for x in rows] == [i % 4 == 0 for i in range(10)]
