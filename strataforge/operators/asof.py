@@ -8,15 +8,14 @@ neither side of one entity must fit one task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strataforge.functions.values import open_end
 from strataforge.operators.skew import key_counts
+from strataforge.operators.sliced import ROWS_PER_SLICE, neighbours, with_slices
+from strataforge.session import materialise
 
 #: Rows of events and versions that one bucket should hold; a bucket is read by one task.
 ROWS_PER_BUCKET = 100_000
@@ -29,7 +28,7 @@ FROM events e ASOF LEFT JOIN versions v ON e.entity = v.entity AND e.slice = v.s
 """
 
 
-def in_force(versions: DataFrame) -> DataFrame:
+def in_force(versions: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Versions with the period they are in force: to the earlier of their own end and the next version's begin.
 
     Input: entity, version, valid_from, valid_until. Of versions that begin together the one with the highest ``version``
@@ -37,9 +36,10 @@ def in_force(versions: DataFrame) -> DataFrame:
     """
     known = versions.where("entity is not null and valid_from is not null")
     by_begin = known.groupBy("entity", "valid_from").agg(F.max(F.struct("version", "valid_until")).alias("v"))
-    following = F.lead("valid_from").over(Window.partitionBy("entity").orderBy("valid_from"))
-    until = F.least(F.coalesce("v.valid_until", open_end()), F.coalesce(following, open_end()))
-    return by_begin.select("entity", F.col("v.version").alias("version"), "valid_from", until.alias("valid_until")).where("valid_from < valid_until")
+    sliced, cut = with_slices(by_begin, "entity", "valid_from", rows_per_slice)
+    ordered = neighbours(sliced, "entity", ["valid_from"], cut, after="following", columns=["valid_from"])
+    until = F.least(F.coalesce("v.valid_until", open_end()), F.coalesce("following.valid_from", open_end()))
+    return ordered.select("entity", F.col("v.version").alias("version"), "valid_from", until.alias("valid_until")).where("valid_from < valid_until")
 
 
 def _join_bucket(events: pa.Table, versions: pa.Table) -> pa.Table:
@@ -52,6 +52,26 @@ def _join_bucket(events: pa.Table, versions: pa.Table) -> pa.Table:
     return found.select(["event_id", "version"]).cast(pa.schema([("event_id", pa.string()), ("version", pa.int64())]))
 
 
+def _spread_hot(lookup: DataFrame, versions: DataFrame, counts: DataFrame, limit: int, slice_days: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with slice and salt: common entities 0 and 0; hot ones' events by time and by chance, their versions copied to every
+    salt of the slices they reach into, within the span of that entity's own events."""
+    hot = counts.select("entity", F.greatest(F.lit(1), F.ceil(F.col("e") / limit)).cast("int").alias("salts"))
+    is_hot = F.col("salts").isNotNull()
+
+    def slice_of(c: Column) -> Column:
+        return F.floor(F.unix_date(c.cast("date")) / slice_days).cast("int")
+
+    salt = F.pmod(F.xxhash64("event_id"), F.col("salts"))
+    lookup = lookup.join(hot, "entity", "left").withColumns({"slice": F.when(is_hot, slice_of(F.col("at"))).otherwise(0), "salt": F.when(is_hot, salt).otherwise(0).cast("int")})
+    spans = lookup.where(is_hot).groupBy("entity").agg(F.min("slice").alias("lo"), F.max("slice").alias("hi"))
+    placed = versions.join(hot, "entity", "left").join(spans, "entity", "left")
+    lo = F.greatest(F.col("lo"), slice_of(F.col("valid_from")))
+    hi = F.least(F.col("hi"), slice_of(F.col("valid_until")))
+    slices = F.when(~is_hot, F.array(F.lit(0))).when(F.col("lo").isNotNull() & (lo <= hi), F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+    placed = placed.select("entity", "version", "valid_from", "valid_until", "salts", F.explode(slices).alias("slice"))
+    return lookup, placed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+
+
 def asof_version(events: DataFrame, versions: DataFrame, *, rows_per_bucket: int = ROWS_PER_BUCKET, slice_days: int = SLICE_DAYS) -> DataFrame:
     """event_id, version (null: none in force) for every event.
 
@@ -60,34 +80,20 @@ def asof_version(events: DataFrame, versions: DataFrame, *, rows_per_bucket: int
     Events with a null entity or time get null; repeated event rows come out as often as they went in; empty tables on
     either side are fine. Other columns can't clash: only those named are read.
     """
-    events = events.select("event_id", "entity", F.col("at").cast("timestamp_ntz").alias("at"))
-    versions = in_force(versions.select("entity", F.col("version").cast("long").alias("version"), F.col("valid_from").cast("timestamp_ntz").alias("valid_from"), F.col("valid_until").cast("timestamp_ntz").alias("valid_until")))
-    per_event, per_version = key_counts(events, "entity"), key_counts(versions, "entity")
-    totals = [r[0] or 0 for r in (per_event.agg(F.sum("n")).first(), per_version.agg(F.sum("n")).first())]
-    buckets = max(1, -(-sum(totals) // rows_per_bucket))
+    # Both are read more than once: to find hot entities and to join. What they are made of is computed once.
+    events = materialise(events.select("event_id", "entity", F.col("at").cast("timestamp_ntz").alias("at")), "events")
+    versions = versions.select("entity", F.col("version").cast("long").alias("version"), F.col("valid_from").cast("timestamp_ntz").alias("valid_from"), F.col("valid_until").cast("timestamp_ntz").alias("valid_until"))
+    versions = materialise(in_force(versions, rows_per_bucket), "versions")
+    sides = key_counts(events, "entity").select("entity", F.col("n").alias("e"), F.lit(0).alias("v")).unionByName(key_counts(versions, "entity").select("entity", F.lit(0).alias("e"), F.col("n").alias("v")))
+    counts = sides.groupBy("entity").agg(F.sum("e").alias("e"), F.sum("v").alias("v"))
     limit = max(1, rows_per_bucket // 2)
-    both = per_event.select("entity", F.col("n").alias("e"), F.lit(0).alias("v")).unionByName(per_version.select("entity", F.lit(0).alias("e"), F.col("n").alias("v")))
-    hot = both.groupBy("entity").agg(F.sum("e").alias("e"), F.sum("v").alias("v")).where((F.col("e") > limit) | (F.col("v") > limit))
-    hot = hot.select("entity", F.greatest(F.lit(1), F.ceil(F.col("e") / limit)).cast("int").alias("salts"))
-
-    def slice_of(c):
-        return F.floor(F.unix_date(c.cast("date")) / slice_days).cast("int")
-
-    lookup = events.where("entity is not null and at is not null").join(hot, "entity", "left")
-    is_hot = F.col("salts").isNotNull()
-    lookup = lookup.select(
-        "event_id", "entity", "at",
-        F.when(is_hot, slice_of(F.col("at"))).otherwise(0).alias("slice"),
-        F.when(is_hot, F.pmod(F.xxhash64("event_id"), F.col("salts"))).otherwise(0).cast("int").alias("salt"),
-    )
-    # Hot entities' versions are copied to the slices they reach into, within the span of that entity's own events.
-    spans = lookup.join(hot.select("entity"), "entity", "left_semi").groupBy("entity").agg(F.min("slice").alias("lo"), F.max("slice").alias("hi"))
-    placed = versions.join(hot.join(spans, "entity"), "entity", "left")
-    lo = F.greatest(F.col("lo"), slice_of(F.col("valid_from")))
-    hi = F.least(F.col("hi"), slice_of(F.col("valid_until")))
-    slices = F.when(F.col("salts").isNull(), F.array(F.lit(0))).when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-    placed = placed.select("entity", "version", "valid_from", "valid_until", "salts", F.explode(slices).alias("slice"))
-    placed = placed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    total = counts.agg(F.sum(F.col("e") + F.col("v")).alias("rows"), F.max(F.greatest("e", "v")).alias("most")).first()
+    buckets = max(int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(total.rows or 0) // rows_per_bucket))
+    lookup = events.where("entity is not null and at is not null")
+    if (total.most or 0) <= limit:
+        lookup, placed = (d.withColumns({"slice": F.lit(0), "salt": F.lit(0)}) for d in (lookup, versions))
+    else:
+        lookup, placed = _spread_hot(lookup, versions, counts.where((F.col("e") > limit) | (F.col("v") > limit)), limit, slice_days)
     bucket = F.pmod(F.xxhash64("entity", "slice", "salt"), F.lit(buckets)).cast("int").alias("bucket")
     left = lookup.select(bucket, "event_id", "entity", "at", "slice").groupBy("bucket")
     right = placed.select(bucket, "entity", "version", "valid_from", "valid_until", "slice").groupBy("bucket")
