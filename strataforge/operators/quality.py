@@ -49,6 +49,21 @@ def scd2_invariants(dim: DataFrame, key: str, surrogate_key: str) -> DataFrame:
     ])
 
 
+def feature_invariants(feature: DataFrame, transactions: DataFrame, key: str = "fuel_transaction_id") -> DataFrame:
+    """What must hold for a scored feature: every transaction once, none beside them, scores in range that fit their codes and flags."""
+    flags = ["high_value_transaction_flag", "no_usage_match_flag", "fuel_card_vehicle_mismatch_flag", "multiple_fill_flag"]
+    some = reduce(lambda a, b: a | b, [F.coalesce(F.col(f), F.lit(False)) for f in flags])
+    keys = feature.select(F.col(key).alias("_k"))
+    return check_suite([
+        check("FEA001", "every transaction is scored", transactions.join(keys, F.col(key) == F.col("_k"), "left_anti"), 0),
+        check("FEA002", "a transaction is scored once", feature.groupBy(key).count().where("count > 1"), 0),
+        check("FEA003", "nothing else is scored", feature.join(transactions.select(F.col(key).alias("_k")), F.col(key) == F.col("_k"), "left_anti"), 0),
+        check("FEA004", "scores are 0 to 100", feature.where("fuel_anomaly_score is null or fuel_anomaly_score not between 0 and 100"), 0),
+        check("FEA005", "a score has codes", feature.where("(fuel_anomaly_score > 0) <> (anomaly_reason_codes <> '')"), 0),
+        check("FEA006", "a score has a flag", feature.where((F.col("fuel_anomaly_score") > 0) != some), 0),
+    ])
+
+
 # Predicates a valid row fulfils. Null values are valid except for not_null, as other rules are about values that are there.
 def not_null(c: str) -> Column:
     return F.col(c).isNotNull()

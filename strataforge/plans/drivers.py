@@ -9,11 +9,12 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataforge.operators import conform
 from strataforge.operators.quality import certify, enforce, mask_pii
 from strataforge.operators.reshape import population_by_age
 from strataforge.operators.staging import DatasetContract, stage_counts, stage_rows
 from strataforge.session import materialise
-from strataforge.sinks.writers import AuditLog, write_rejects, write_staging, write_target
+from strataforge.sinks.writers import AuditLog, VersionedTable, write_rejects, write_staging, write_target
 from strataforge.sources import delimited
 from strataforge.sources.metadata import Catalog, load_contract, load_dataset_contracts, validate_metadata
 
@@ -153,3 +154,65 @@ def run_governance(df: DataFrame, rules: Sequence[Mapping[str, Any]], masks: Map
     kept, moved, results = enforce(df, rules)
     out = {"kept": mask_pii(kept, masks or {}), "quarantined": moved, "results": results}
     return {**out, "certification": certify(checks)} if checks is not None else out
+
+
+def run_conform(
+    spark: SparkSession, config: Mapping[str, Mapping[str, Any]], staged: Mapping[str, DataFrame], output: str, audit_path: str, *, run_id: str, batch_id: str, batch_timestamp: str
+) -> list[dict[str, Any]]:
+    """Merges staged batches into their targets as configured, parents before children; each target is swapped whole.
+
+    ``config``: by source table: target_table, pattern (scd2, append, history, current_and_history, summary), merge_key,
+    attributes, surrogate_key, missing_record_action, parents {child column: (source table, key)}, event_time and keys. A
+    batch id that a target already has is skipped, so a run can be repeated after a failure.
+    """
+    audit, tables, events = AuditLog(spark, audit_path), {}, []
+
+    def ready(name: str) -> bool:
+        return all(parent in tables or parent not in config for parent, _ in config[name].get("parents", {}).values())
+
+    def empty(batch: DataFrame, columns: Sequence[str], extra: str) -> DataFrame:
+        return batch.limit(0).select(*columns).selectExpr("*", *[f"cast(null as {kind}) as {n}" for n, kind in (x.split(":") for x in extra.split())])
+
+    dim_columns = "effective_from:timestamp_ntz effective_to:timestamp_ntz is_current:boolean deleted_flag:boolean source_record_hash:string updated_run_id:string"
+
+    def merge(c: Mapping[str, Any], pattern: str, key: str, batch: DataFrame, table: VersionedTable) -> DataFrame:
+        attributes = list(c.get("attributes", []))
+        kind = dict(batch.dtypes)[key]
+        if pattern == "scd2":
+            sk = c.get("surrogate_key", "sk")
+            current = table.read() if table.exists() else empty(batch, [key, *attributes], f"{sk}:bigint {dim_columns}")
+            parents = [(child, tables[p].read(), k) for child, (p, k) in c.get("parents", {}).items()]
+            return conform.scd2_merge(current, batch, business_key=key, surrogate_key=sk, attributes=attributes, run_id=run_id, batch_timestamp=batch_timestamp, missing=c.get("missing_record_action", "soft_delete"), parents=parents)
+        if pattern == "append":
+            current = table.read() if table.exists() else empty(batch, [key, *attributes], f"event_business_key:{kind} source_record_hash:string batch_date:string")
+            return conform.append_only_merge(current, batch, event_key=key, columns=[key, *attributes], run_id=run_id)
+        if pattern == "history":
+            current = table.read() if table.exists() else empty(batch, [key, *attributes], f"event_business_key:{kind} source_updated_at:string source_record_hash:string delta_action:string")
+            return conform.version_history_merge(current, batch, business_key=key, columns=[key, *attributes])
+        if pattern == "summary":
+            by, at = list(c["keys"]), c["event_time"]
+            day = str(batch.agg(F.max("_batch_date")).first()[0])
+            current = table.read() if table.exists() else conform.daily_summary(batch.limit(0), batch_date=day, keys=by, event_time=at)
+            return conform.rebuild_summary(current, batch, batch_date=day, keys=by, event_time=at)
+        raise ValueError(f"Unknown pattern: {pattern}")
+
+    waiting = [n for n in config if n in staged]
+    while waiting:
+        name = next((n for n in waiting if ready(n)), None)
+        if name is None:
+            raise ValueError(f"Parents of {waiting} are missing or form a ring")
+        waiting.remove(name)
+        c = config[name]
+        both = {"current_and_history": ("scd2", "history")}.get(c["pattern"], (c["pattern"],))
+        base = {"run_id": run_id, "dataset_id": name, "pipeline_name": "conform", "completed_at": batch_timestamp}
+        try:
+            for pattern in both:
+                target = VersionedTable(spark, f"{output}/{c['target_table']}{'_HIST' if pattern == 'history' and len(both) > 1 else ''}")
+                if not target.has_batch(batch_id):
+                    target.replace(merge(c, pattern, c["merge_key"], staged[name], target), batch_id)
+                tables.setdefault(name, target)
+            events.append(audit.log({**base, "status": "SUCCESS", "target_record_count": tables[name].read().count()}, batch_timestamp))
+        except Exception as e:
+            tables.setdefault(name, VersionedTable(spark, f"{output}/{c['target_table']}"))
+            events.append(audit.log({**base, "status": "FAILED", "error_message": str(e)[:2000]}, batch_timestamp))
+    return events

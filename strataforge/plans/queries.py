@@ -420,6 +420,36 @@ def string_clean(spark, d):
     )
 
 
+@query("select o_orderkey from orders where o_orderdate >= timestamp '1995-01-01' and o_orderdate < timestamp '1996-01-01' and o_orderpriority between '1' and '3'")
+def parameter_filter(spark, d):
+    """A query with named parameters."""
+    text = "select o_orderkey from {o} where o_orderdate >= to_timestamp_ntz(:since) and o_orderdate < to_timestamp_ntz(:until) and o_orderpriority between :low and :high"
+    return spark.sql(text, args={"since": "1995-01-01", "until": "1996-01-01", "low": "1", "high": "3"}, o=table(spark, d, "orders"))
+
+
+@query("select c_custkey, c_acctbal > (select avg(c_acctbal) from customer) above from customer")
+def scalar_subquery(spark, d):
+    c = table(spark, d, "customer")
+    return c.select("c_custkey", (F.col("c_acctbal") > table(spark, d, "customer").agg(F.avg("c_acctbal")).scalar()).alias("above"))
+
+
+@query("select o_custkey, max_by(o_orderkey, (o_orderdate, o_orderkey)) last_order from orders group by 1")
+def last_per_key(spark, d):
+    return table(spark, d, "orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("last_order"))
+
+
+@query("select o_orderkey from orders where 1 = 0")
+def constant_false(spark, d):
+    return table(spark, d, "orders").where("1 = 0").select("o_orderkey")
+
+
+@query("select 'orders' table_name, (select count(*) from orders) + 1 row_count, (select count(*) from orders) actual_count union all select 'ghost', 5, 0")
+def manifest_reconciliation(spark, d):
+    n, c = table(spark, d, "orders").count(), table(spark, d, "customer").count()
+    expected = spark.createDataFrame([("orders", n + 1), ("customer", c), ("ghost", 5)], "table_name string, row_count long")
+    return quality.manifest_differences(expected, spark.createDataFrame([("orders", n), ("customer", c)], "table_name string, actual_count long"))
+
+
 # --- reshape, rules, quality ------------------------------------------------------------------------------------------
 
 
@@ -485,6 +515,12 @@ def scd2_invariants(spark, d):
     return quality.scd2_invariants(_dim(spark, d, 2), "c_custkey", "c_sk").select("test_id", "test_status")
 
 
+@query("select 'FEA00' || i test_id, 'PASS' test_status from range(1, 7) t(i)")
+def feature_invariants(spark, d):
+    txn = transactions(spark, d, "fuel_card_id")
+    return quality.feature_invariants(fuel_anomaly_feature(spark, d), txn).select("test_id", "test_status")
+
+
 _RULES = {"positive": "c_acctbal >= 0", "named": "c_name is not null", "segment": "c_mktsegment in ('BUILDING', 'MACHINERY', 'FURNITURE')"}
 
 

@@ -83,6 +83,11 @@ def empty_clone(df: DataFrame, name: str) -> None:
     df.limit(0).write.mode("overwrite").saveAsTable(name)
 
 
+def reload_table(df: DataFrame, name: str) -> None:
+    """A load table emptied and filled again; its definition stays."""
+    df.select(*df.sparkSession.table(name).columns).write.insertInto(name, overwrite=True)
+
+
 def csv_to_parquet(spark: SparkSession, source: str, target: str) -> None:
     """All columns as text, nulls as empty strings."""
     from strataforge.sources.delimited import read_delimited
