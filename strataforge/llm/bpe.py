@@ -13,9 +13,11 @@ from __future__ import annotations
 import json
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -26,7 +28,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Pieces kept with their ids; longer ones than this many characters are encoded anew each time.
 KEPT_PIECES, KEPT_LENGTH, KEPT_PAIRS = 400_000, 48, 1_000_000
 NEVER = 1 << 30
-CHARS_PER_BLOCK = 4_000_000
+#: Ids in one batch of results, and characters of a text whose pieces may be listed at once.
+IDS_PER_BATCH, LISTED_CHARS = 1_000_000, 1_000_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -60,7 +63,7 @@ class Encoder:
                 self.length[i] = len(text)
                 self.automaton.add_word("".join(chr(alphabet[c]) for c in text), i)
         self.automaton.make_automaton()
-        self.split = regex.compile(PATTERN).findall
+        self.pattern = regex.compile(PATTERN)
         self.right_edges: dict[int, list[tuple[int, int]]] = {}
         self.left_edges: dict[int, list[tuple[int, int]]] = {}
         self.pairs: dict[int, bool] = {}
@@ -121,8 +124,15 @@ class Encoder:
             size -= length[token]
         return tuple(out[::-1])
 
+    def encode_into(self, text: str, ids: array) -> None:
+        """Appends the text's ids; pieces of a very long text are made one by one, not all at once."""
+        pieces = self.pattern.findall(text) if len(text) <= LISTED_CHARS else (m.group() for m in self.pattern.finditer(text))
+        ids.extend(chain.from_iterable(map(self.pieces.__getitem__, pieces)))
+
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
+        ids = array("i")
+        self.encode_into(text, ids)
+        return ids.tolist()
 
 
 class _Pieces(dict):
@@ -163,19 +173,19 @@ def encode_corpus(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(vocabulary.value)
 
-        def flush(keys: list, flat: list, ends: list) -> pa.RecordBatch:
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+        def flush(keys: list, flat: array, ends: list) -> pa.RecordBatch:
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), ids], schema=schema)
 
         for batch in batches:
-            keys, flat, ends = [], [], [0]
+            keys, flat, ends = [], array("i"), [0]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                flat += encoder.encode(text.as_py() or "")
+                encoder.encode_into(text.as_py() or "", flat)
                 ends.append(len(flat))
                 keys.append(key)
-                if len(flat) >= CHARS_PER_BLOCK // 4:
+                if len(flat) >= IDS_PER_BATCH:
                     yield flush(keys, flat, ends)
-                    keys, flat, ends = [], [], [0]
+                    keys, flat, ends = [], array("i"), [0]
             if keys:
                 yield flush(keys, flat, ends)
 

@@ -250,3 +250,9 @@ def test_a_group_filled_nowhere_gives_no_row(spark):
     df = spark.createDataFrame([("k", 1, None), ("k", 2, None)], "k string, id int, s string")
     assert survivor.survivors(df, ["k"], {"s": F.col("s")}, F.lit(True), F.col("id"), F.col("id")).count() == 0
     assert survivor.duplicated(df, ["k"]).count() == 2
+
+
+def test_very_long_texts_are_encoded_piece_by_piece(monkeypatch, encoder, reference):
+    monkeypatch.setattr(bpe, "LISTED_CHARS", 3)
+    text = "Some words, 12345 and\n\n  others' things"
+    assert encoder.encode(text) == reference.encode_ordinary(text)
