@@ -165,3 +165,22 @@ def test_targets_tables_and_catalog(spark, tmp_path):
 def _csv(tmp_path):
     put(tmp_path / "one.csv", "a,b", '"x\ny",2')
     return tmp_path / "one.csv"
+
+
+def test_jdbc_target_and_partitioned_source(spark):
+    """Against the embedded database that Spark ships with."""
+    url, driver = "jdbc:derby:memory:strataforge;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    df = spark.range(100).selectExpr("cast(id as int) as i", "cast(id * 2 as int) as j")
+    target = {"platform": "jdbc", "object": "t_numbers", "write_mode": "overwrite", "options": {"url": url, "driver": driver}}
+    assert write_target(df, target) == "t_numbers"
+    back = external.read_jdbc(spark, url, "t_numbers", partition_column="i", lower=0, upper=100, partitions=4, properties={"driver": driver})
+    assert back.rdd.getNumPartitions() == 4 and back.selectExpr("sum(j)").first()[0] == 9900
+    assert external.read_incremental(back, "i", 89, "j < 190").count() == 5
+
+
+def test_source_by_metadata(spark, tmp_path):
+    put(tmp_path / "a.psv", "x|y", "1|2")
+    rows = external.read_source(spark, {"source_format": "csv", "source_path": "/a.psv", "source_delimiter": "pipe"}, str(tmp_path))
+    assert [tuple(r) for r in rows.collect()] == [("1", "2")]
+    rows.write.parquet(str(tmp_path / "p"))
+    assert external.read_source(spark, {"source_format": "parquet", "source_path": "/p"}, str(tmp_path)).count() == 1
