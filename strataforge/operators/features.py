@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataforge.functions.values import is_true
+from strataforge.operators.skew import has_hot_key
 
 # The rules' weights and codes in their order, limits and version.
 RULES = [("high_value_transaction_flag", 30, "HIGH_VALUE_TRANSACTION"), ("no_usage_match_flag", 25, "NO_USAGE_MATCH"), ("fuel_card_vehicle_mismatch_flag", 30, "CARD_VEHICLE_MISMATCH"), ("multiple_fill_flag", 15, "MULTIPLE_FILLS_7D")]
 AMOUNT_LIMIT, SIGMAS, VERSION = 250, 2, "fuel_anomaly_rules_v0.1"
 PERIOD = "INTERVAL '7' DAY"
+#: Transactions of one card that a task may sort.
+ROWS_PER_CARD = 1_000_000
 
 
 def usage_per_day(usage: DataFrame, key: str, day: Column, amount: str) -> DataFrame:
@@ -18,13 +21,23 @@ def usage_per_day(usage: DataFrame, key: str, day: Column, amount: str) -> DataF
     return usage.groupBy(F.col(key).alias("usage_key"), day.alias("usage_day")).agg(F.sum(amount).alias("distance_km"))
 
 
-def card_windows(df: DataFrame, card: str, at: str, amount: str) -> DataFrame:
-    """Count of the trailing 7 days (exactly 7 days ago included), mean and sample deviation of the card; one exchange by card."""
-    return df.withColumns({
-        "transaction_frequency_7d": F.expr(f"count(1) over (partition by {card} order by {at} range between {PERIOD} preceding and current row)"),
-        "avg_amount": F.expr(f"avg(cast({amount} as double)) over (partition by {card})"),
-        "std_amount": F.expr(f"stddev_samp(cast({amount} as double)) over (partition by {card})"),
-    })
+def card_windows(df: DataFrame, card: str, at: str, amount: str, *, counted: DataFrame | None = None, rows_per_card: int = ROWS_PER_CARD) -> DataFrame:
+    """Count of the trailing 7 days (exactly 7 days ago included), mean and sample deviation of the card; one exchange by card.
+
+    If a card has more rows than ``rows_per_card`` (found in ``counted``, by default in df), its rows are counted per time
+    before the window and averaged by partial aggregation, and joined back by card and time: no task sorts a card's rows.
+    Null cards are one card, null times one time.
+    """
+    frame = f"over (partition by {card} order by {at} range between {PERIOD} preceding and current row)"
+    value = F.col(amount).cast("double")
+    if not has_hot_key(df if counted is None else counted, card, rows_per_card):
+        whole = Window.partitionBy(card)
+        return df.withColumns({"transaction_frequency_7d": F.expr(f"count(1) {frame}"), "avg_amount": F.avg(value).over(whole), "std_amount": F.stddev_samp(value).over(whole)})
+    times = df.groupBy(card, at).agg(F.count(F.lit(1)).alias("_n")).withColumn("transaction_frequency_7d", F.expr(f"sum(_n) {frame}"))
+    times = times.select(F.col(card).alias("_c"), F.col(at).alias("_t"), "transaction_frequency_7d")
+    cards = df.groupBy(F.col(card).alias("_d")).agg(F.avg(value).alias("avg_amount"), F.stddev_samp(value).alias("std_amount"))
+    joined = df.join(times, F.col(card).eqNullSafe(F.col("_c")) & F.col(at).eqNullSafe(F.col("_t")))
+    return joined.join(cards, F.col(card).eqNullSafe(F.col("_d"))).drop("_c", "_t", "_d")
 
 
 def score(df: DataFrame, *, amount: str, distance: str, mismatch: Column, amount_limit: float = AMOUNT_LIMIT) -> DataFrame:
@@ -66,7 +79,7 @@ def fuel_anomaly_score(transactions: DataFrame, usage: DataFrame, cards: DataFra
         .join(client, F.col("client_id") == F.col("_client_id"), "left")
     )
     mismatch = (F.col("_card_vehicle").isNotNull() & (F.col("_card_vehicle") != F.col("vehicle_id"))) | (F.col("_card_client").isNotNull() & (F.col("_card_client") != F.col("client_id")))
-    scored = score(card_windows(joined, "fuel_card_id", "transaction_datetime", "gross_amount"), amount="gross_amount", distance="distance_km", mismatch=mismatch)
+    scored = score(card_windows(joined, "fuel_card_id", "transaction_datetime", "gross_amount", counted=transactions), amount="gross_amount", distance="distance_km", mismatch=mismatch)
     dated = scored.withColumn("batch_date", F.lit(batch_date).cast("date") if batch_date else F.col("transaction_date"))
     return dated.select(
         "fuel_transaction_id", "fuel_card_id", "vehicle_id", "vehicle_sk", "client_id", "client_sk", "transaction_datetime", "transaction_date", "merchant_state", "fuel_product",

@@ -11,6 +11,12 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
+def has_hot_key(df: DataFrame, key: str, rows_per_task: int) -> bool:
+    """Whether one key (null being one) has more rows than a task should get."""
+    most = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return (most or 0) > rows_per_task
+
+
 def hot_keys(df: DataFrame, key: str, rows_per_task: int) -> DataFrame:
     """key, salts: keys with more rows than a task should get, and over how many tasks to spread them.
 

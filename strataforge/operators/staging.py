@@ -8,6 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataforge.operators.skew import has_hot_key
+
+#: Rows of one key that a task may sort.
+ROWS_PER_KEY = 1_000_000
 MUTABLE, EVENT = "mutable_versioned", "append_only_event"
 
 
@@ -36,30 +40,55 @@ def _text(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
-def mark_exact_duplicates(df: DataFrame, key: str) -> DataFrame:
-    """_is_exact_duplicate: an earlier row (by file and row number) has the same key, times and hash."""
-    w = Window.partitionBy(key, _text("effective_at"), _text("updated_at"), "_record_hash").orderBy("_source_file_name", F.col("_source_row_number").cast("long"))
-    return df.withColumn("_is_exact_duplicate", F.row_number().over(w) > 1)
-
+def mark_exact_duplicates(df: DataFrame, key: str, spread: bool = False) -> DataFrame:
+    """_is_exact_duplicate: an earlier row (by file and row number) has the same key, times and hash.
 
-def resolve_latest(df: DataFrame, key: str) -> DataFrame:
-    """_is_latest_for_business_key and _latest_resolution_status of every row.
-
-    Among a key's rows that are no exact duplicates the one with the latest (updated_at, effective_at, file time, ingest
-    time, file, row) is the latest and all are resolved. If the rows of the top (updated_at, effective_at) have
-    different hashes, those are ambiguous, nobody is latest and the others stay pending; duplicates stay pending.
+    ``spread``: the first row of each group is found by partial aggregation and joined back, so that no task must sort a group.
     """
+    place = F.struct("_source_file_name", F.col("_source_row_number").cast("long"))
+    if not spread:
+        w = Window.partitionBy(key, _text("effective_at"), _text("updated_at"), "_record_hash").orderBy("_source_file_name", F.col("_source_row_number").cast("long"))
+        return df.withColumn("_is_exact_duplicate", F.row_number().over(w) > 1)
+    group = [F.col(key), _text("effective_at"), _text("updated_at"), F.col("_record_hash")]
+    first = df.groupBy(*[c.alias(f"_g{i}") for i, c in enumerate(group)]).agg(F.min(place).alias("_first"))
+    on = group[0].eqNullSafe(F.col("_g0")) & (group[1] == F.col("_g1")) & (group[2] == F.col("_g2")) & (group[3] == F.col("_g3"))
+    return df.join(first, on).withColumn("_is_exact_duplicate", place != F.col("_first")).drop("_g0", "_g1", "_g2", "_g3", "_first")
+
+
+def _facts_by_window(df: DataFrame, key: str) -> DataFrame:
+    """df with _place, _in_top and _ambiguous; everything about a key in one sort of its rows."""
     part = Window.partitionBy(key, "_is_exact_duplicate")
     order = part.orderBy(
         _text("updated_at").desc(), _text("effective_at").desc(), F.col("_source_file_modified_at").desc(), F.col("_ingest_timestamp").desc(),
         F.col("_source_file_name").desc(), F.col("_source_row_number").cast("long").desc(),
     )
-    top = F.first(F.struct(_text("updated_at").alias("u"), _text("effective_at").alias("e"))).over(order)
-    in_top = F.struct(_text("updated_at").alias("u"), _text("effective_at").alias("e")) == F.col("_top")
-    ranked = df.withColumns({"_place": F.row_number().over(order), "_top": top}).withColumn("_in_top", in_top)
+    times = F.struct(_text("updated_at").alias("u"), _text("effective_at").alias("e"))
+    ranked = df.withColumns({"_place": F.row_number().over(order), "_top": F.first(times).over(order)}).withColumn("_in_top", times == F.col("_top"))
     top_hash = F.when(F.col("_in_top"), F.col("_record_hash"))
     ambiguous = F.min(top_hash).over(part) != F.max(top_hash).over(part)
-    marked = ranked.withColumn("_ambiguous", F.coalesce(ambiguous, F.lit(False)))
+    return ranked.withColumn("_ambiguous", F.coalesce(ambiguous, F.lit(False))).drop("_top")
+
+
+def _facts_by_aggregation(df: DataFrame, key: str) -> DataFrame:
+    """The same for keys too large to sort in one task: the top tie group's hashes and last row by partial aggregates, joined back."""
+    times = [_text("updated_at"), _text("effective_at")]
+    last = F.struct(F.col("_source_file_modified_at").alias("m"), F.col("_ingest_timestamp").alias("i"), F.col("_source_file_name").alias("f"), F.col("_source_row_number").cast("long").alias("r"))
+    ties = df.where(~F.col("_is_exact_duplicate")).groupBy(F.col(key).alias("_k"), times[0].alias("u"), times[1].alias("e"))
+    ties = ties.agg(F.max(last).alias("last"), F.min("_record_hash").alias("low"), F.max("_record_hash").alias("high"))
+    top = ties.groupBy("_k").agg(F.max(F.struct("u", "e", "last", "low", "high")).alias("_t"))
+    back = df.join(top, F.col(key).eqNullSafe(F.col("_k")), "left")
+    in_top = (times[0] == F.col("_t.u")) & (times[1] == F.col("_t.e"))
+    return back.withColumns({"_in_top": in_top, "_place": F.when(in_top & (last == F.col("_t.last")), 1).otherwise(2), "_ambiguous": F.col("_t.low") != F.col("_t.high")}).drop("_k", "_t")
+
+
+def resolve_latest(df: DataFrame, key: str, spread: bool = False) -> DataFrame:
+    """_is_latest_for_business_key and _latest_resolution_status of every row.
+
+    Among a key's rows that are no exact duplicates the one with the latest (updated_at, effective_at, file time, ingest
+    time, file, row) is the latest and all are resolved. If the rows of the top (updated_at, effective_at) have
+    different hashes, those are ambiguous, nobody is latest and the others stay pending; duplicates stay pending.
+    """
+    marked = _facts_by_aggregation(df, key) if spread else _facts_by_window(df, key)
     status = (
         F.when(F.col("_is_exact_duplicate"), "pending")
         .when(F.col("_ambiguous") & F.col("_in_top"), "ambiguous_same_timestamp")
@@ -67,16 +96,18 @@ def resolve_latest(df: DataFrame, key: str) -> DataFrame:
         .otherwise("resolved")
     )
     latest = ~F.col("_is_exact_duplicate") & ~F.col("_ambiguous") & (F.col("_place") == 1)
-    return marked.withColumns({"_is_latest_for_business_key": latest, "_latest_resolution_status": status}).drop("_place", "_top", "_in_top", "_ambiguous")
+    return marked.withColumns({"_is_latest_for_business_key": latest, "_latest_resolution_status": status}).drop("_place", "_in_top", "_ambiguous")
 
 
 def stage_rows(
-    rows: DataFrame, contract: DatasetContract, *, source_system_id: str, run_id: str, batch_date: str, load_type: str = "full", source_date: str = "", ingest_timestamp: str
+    rows: DataFrame, contract: DatasetContract, *, source_system_id: str, run_id: str, batch_date: str, load_type: str = "full", source_date: str = "", ingest_timestamp: str,
+    rows_per_key: int = ROWS_PER_KEY,
 ) -> DataFrame:
     """Source rows with the lineage columns, staged. ``rows`` has the contract's columns, _source_file_name, _source_file_path,
     _source_file_modified_at, _source_row_number and, on deltas, delta_action; contract columns it lacks are empty.
 
-    Null values hash as empty ones. An empty table stages to an empty table. One exchange by key serves both windows.
+    Null values hash as empty ones. An empty table stages to an empty table. One exchange by key serves both windows; if a
+    key has more than ``rows_per_key`` rows, aggregates joined back take the windows' place.
     """
     have = set(rows.columns)
     payload = [F.col(c) if c in have else F.lit("").alias(c) for c in contract.expected_columns]
@@ -87,18 +118,16 @@ def stage_rows(
         "_source_file_name", "_source_file_path", "_source_file_modified_at", "_source_row_number",
         F.lit(run_id).alias("_ingest_run_id"), F.lit(ingest_timestamp).alias("_ingest_timestamp"), F.lit(batch_date).alias("_batch_date"),
         F.lit(load_type).alias("_load_type"), F.lit(source_date).alias("_source_extract_date"), action.alias("_delta_action"),
-        F.lit("passed").alias("_dq_status"), record_hash(contract.expected_columns).alias("_record_hash") if not set(contract.expected_columns) - have else F.lit(None).cast("string").alias("_record_hash"),
-    )
-    if set(contract.expected_columns) - have:
-        staged = staged.withColumn("_record_hash", record_hash(contract.expected_columns))
+        F.lit("passed").alias("_dq_status"),
+    ).withColumn("_record_hash", record_hash(contract.expected_columns))
     for c in ("effective_at", "updated_at"):
         if c not in staged.columns:
             staged = staged.withColumn(c, F.lit(""))
     extra = [c for c in ("effective_at", "updated_at") if c not in contract.expected_columns]
-    by_key = staged.repartition(contract.primary_key)
-    marked = mark_exact_duplicates(by_key, contract.primary_key)
+    spread = has_hot_key(rows, contract.primary_key, rows_per_key)
+    marked = mark_exact_duplicates(staged if spread else staged.repartition(contract.primary_key), contract.primary_key, spread)
     if contract.is_mutable:
-        marked = resolve_latest(marked, contract.primary_key)
+        marked = resolve_latest(marked, contract.primary_key, spread)
     else:
         marked = marked.withColumns({"_is_latest_for_business_key": F.lit(False), "_latest_resolution_status": F.lit("not_applicable_event")})
     return marked.drop(*extra)

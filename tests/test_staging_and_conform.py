@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strataforge.operators import conform, quality
+from strataforge.operators import conform, features, quality
 from strataforge.operators.rules import RuleEngine
 from strataforge.operators.staging import DatasetContract, eligible, rejects, stage_rows
 
@@ -43,6 +43,8 @@ def test_staging_against_naive_model(spark):
     rows = [(f"k{r.randint(0, 60)}", r.choice("abc"), f"2025-01-0{r.randint(1, 2)}", f"2025-01-0{r.randint(1, 3)}", r.choice(["f1", "f2"]), i) for i in range(800)]
     got = {(x._source_file_name, x._source_row_number): (x._is_exact_duplicate, x._is_latest_for_business_key, x._latest_resolution_status) for x in stage(spark, rows).collect()}
     assert got == naive(rows)
+    spread = stage(spark, rows, rows_per_key=5)
+    assert {(x._source_file_name, x._source_row_number): (x._is_exact_duplicate, x._is_latest_for_business_key, x._latest_resolution_status) for x in spread.collect()} == got
 
 
 def test_ambiguity_quarantines_both_rows_and_blocks_merge(spark):
@@ -134,3 +136,13 @@ def test_dq_predicates(spark):
     rules = {"nn": quality.not_null("n"), "neg": quality.non_negative("i"), "rng": quality.in_range("i", 0, 100), "date": quality.parses_as("d", "date"), "bool": quality.boolean_token("b")}
     assert {r.rule_name: r.failed_count for r in quality.run_rules(df, rules).collect()} == {"nn": 1, "neg": 1, "rng": 1, "date": 1, "bool": 1}
     assert quality.run_rules(df.limit(0), rules).where("failed_count > 0").count() == 0
+
+
+def test_card_windows_are_the_same_for_hot_cards(spark):
+    import datetime as dt
+
+    r = random.Random(17)
+    day = lambda: r.choice([None] + [dt.datetime(2025, 1, 1) + dt.timedelta(hours=12 * r.randint(0, 60))] * 9)
+    df = spark.createDataFrame([(i, r.choice(["hot"] * 5 + ["a", "b", "once" if i == 3 else "a", None]), day(), r.choice([None, 1.0, 5.0, 9.0])) for i in range(300)], "i int, card string, at timestamp_ntz, amount double")
+    shown = lambda d: sorted((x.i, x.transaction_frequency_7d, round(x.avg_amount or -1, 9), round(x.std_amount or -1, 9)) for x in d.collect())
+    assert shown(features.card_windows(df, "card", "at", "amount", rows_per_card=3)) == shown(features.card_windows(df, "card", "at", "amount"))
