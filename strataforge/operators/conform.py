@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strataforge.functions.values import open_end
 from strataforge.operators.ids import max_key, ordered_ids
+from strataforge.operators.sliced import ROWS_PER_SLICE, neighbours, with_slices
 from strataforge.operators.staging import eligible
 
 MISSING = ("soft_delete", "ignore")
@@ -84,17 +85,20 @@ def scd1_merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return rest.unionByName(source.select(*target.columns))
 
 
-def scd2_from_history(rows: DataFrame, *, business_key: str, surrogate_key: str, attributes: Sequence[str], order: Sequence[str], at: str = "effective_at") -> DataFrame:
-    """A dimension derived from the whole history: change points by LAG, periods by LEAD; nothing is ever deleted.
+def scd2_from_history(
+    rows: DataFrame, *, business_key: str, surrogate_key: str, attributes: Sequence[str], order: Sequence[str], at: str = "effective_at", rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """A dimension derived from the whole history: change points by the hash before, periods by the next change; nothing is deleted.
 
-    The current row is the last change point, even if its time is null.
+    The current row is the last change point, even if its time is null. Hashes compare null-safely. Keys with very many rows
+    are cut into slices where the first order column is a date or time.
     """
-    w = Window.partitionBy(business_key).orderBy(*order)
-    first = F.row_number().over(w) == 1
-    changed = ~F.col("_record_hash").eqNullSafe(F.lag("_record_hash").over(w))
-    points = rows.withColumn("_point", first | changed).where("_point").drop("_point")
-    following = F.lead(F.struct(at)).over(w)
-    periods = points.withColumn("_next", following).withColumns({"effective_from": F.col(at), "effective_to": F.coalesce(F.col(f"_next.{at}"), open_end()), "is_current": F.col("_next").isNull()})
+    kind = dict(rows.dtypes)[order[0]]
+    sliced, cut = with_slices(rows, business_key, order[0], rows_per_slice) if kind.startswith(("date", "timestamp")) else (rows.withColumn("slice", F.lit(-1)), False)
+    beside = neighbours(sliced, business_key, list(order), cut, before="_prior", columns=["_record_hash"])
+    points = beside.where(F.col("_prior").isNull() | ~F.col("_prior._record_hash").eqNullSafe(F.col("_record_hash"))).drop("_prior")
+    ahead = neighbours(points, business_key, list(order), cut, after="_next", columns=[at])
+    periods = ahead.withColumns({"effective_from": F.col(at), "effective_to": F.coalesce(F.col(f"_next.{at}"), open_end()), "is_current": F.col("_next").isNull()})
     numbered = ordered_ids(periods, [business_key, at, *[c for c in order if c != at]], surrogate_key)
     return numbered.select(surrogate_key, business_key, *attributes, "effective_from", "effective_to", "is_current", F.lit(False).alias("deleted_flag"), F.col("_record_hash").alias("source_record_hash"))
 

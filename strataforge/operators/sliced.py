@@ -18,14 +18,14 @@ ROWS_PER_SLICE = 1_000_000
 
 
 def with_slices(df: DataFrame, key: str, at: str, rows_per_slice: int = ROWS_PER_SLICE) -> tuple[DataFrame, bool]:
-    """df with a column slice that never falls as ``at`` (not null) grows, -1 for keys that need no cutting; and whether any does."""
+    """df with a column slice that never falls as ``at`` (nulls first) grows, -1 for keys that need no cutting; and whether any does."""
     hour = F.unix_date(F.col(at).cast("date")).cast("long") * 24 + F.hour(at)
     span = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"), F.min(hour).alias("_lo"), F.max(hour).alias("_hi")).where(F.col("_n") > rows_per_slice)
     if span.isEmpty():
         return df.withColumn("slice", F.lit(-1)), False
     width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / F.lit(rows_per_slice))))
     hot = span.select("_hot", "_lo", width.alias("_width"))
-    number = F.coalesce(F.floor((hour - F.col("_lo")) / F.col("_width")), F.lit(-1)).cast("int")
+    number = F.when(F.col("_hot").isNull(), -1).otherwise(F.coalesce(F.floor((hour - F.col("_lo")) / F.col("_width")) + 1, F.lit(0))).cast("int")
     return df.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("slice", number).drop("_hot", "_lo", "_width"), True
 
 
@@ -51,10 +51,10 @@ def neighbours(df: DataFrame, key: str, order: list[str], cut: bool, *, after: s
         return df.withColumns(names)
     df = materialise(df, "slices")
     edges = _edges(df, key, _first=F.min(F.struct(*order, row.alias("_row"))), _last=F.max(F.struct(*order, row.alias("_row"))))
-    edges = edges.select("_key", "_slice", F.lead("_first._row").over(outer).alias("_next"), F.lag("_last._row").over(outer).alias("_prior"))
+    edges = edges.select("_key", "_slice", F.lead("_first._row").over(outer).alias("__edge_next"), F.lag("_last._row").over(outer).alias("__edge_prior"))
     out = _beside(df.withColumns(names), edges, key)
-    whole = {n: F.coalesce(F.col(n), F.col("_next" if n == after else "_prior")) for n in names}
-    return out.withColumns(whole).drop("_next", "_prior")
+    whole = {n: F.coalesce(F.col(n), F.col("__edge_next" if n == after else "__edge_prior")) for n in names}
+    return out.withColumns(whole).drop("__edge_next", "__edge_prior")
 
 
 def last_known(df: DataFrame, key: str, order: list[str], cut: bool, value: str, name: str) -> DataFrame:

@@ -146,3 +146,18 @@ def test_card_windows_are_the_same_for_hot_cards(spark):
     df = spark.createDataFrame([(i, r.choice(["hot"] * 5 + ["a", "b", "once" if i == 3 else "a", None]), day(), r.choice([None, 1.0, 5.0, 9.0])) for i in range(300)], "i int, card string, at timestamp_ntz, amount double")
     shown = lambda d: sorted((x.i, x.transaction_frequency_7d, round(x.avg_amount or -1, 9), round(x.std_amount or -1, 9)) for x in d.collect())
     assert shown(features.card_windows(df, "card", "at", "amount", rows_per_card=3)) == shown(features.card_windows(df, "card", "at", "amount"))
+
+
+def test_dimension_from_history_is_the_same_in_slices(spark):
+    import datetime as dt
+
+    r = random.Random(19)
+    at = lambda: r.choice([None] + [dt.datetime(2025, 1, 1) + dt.timedelta(hours=r.randint(0, 400))] * 9)
+    rows = [(r.choice(["hot"] * 6 + ["a", "b", None]), i, at(), r.choice(["x", "y", None])) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, i int, effective_at timestamp_ntz, _record_hash string")
+    kw = dict(business_key="k", surrogate_key="sk", attributes=["i"], order=["effective_at", "i"])
+    shown = lambda d: sorted((str(tuple(x)) for x in d.collect()))
+    plain = conform.scd2_from_history(df, **kw)
+    assert shown(conform.scd2_from_history(df, rows_per_slice=4, **kw)) == shown(plain)
+    assert plain.where("is_current").count() == 4
+    assert conform.scd2_from_history(df.limit(0), **kw).count() == 0
