@@ -49,6 +49,18 @@ def reconstruct(store: DataFrame, attrs: Sequence[str], cut: bool = False) -> Da
     return rows.where("not is_end").select("entity", F.col("at").alias("effective_from"), F.coalesce("following.at", open_end()).alias("effective_to"), *attrs)
 
 
+def state_at(store: DataFrame, attrs: Sequence[str], at: Column) -> DataFrame:
+    """entity and attributes as they were at a time: each entity's patches folded forward from its nearest checkpoint.
+
+    Of every entity only the segment its last event falls in is read. Entities that hadn't begun or had ended give no row.
+    """
+    past = store.where(F.col("at") <= at)
+    latest = past.groupBy("entity").agg(F.max("segment").alias("segment"))
+    near = past.join(latest, ["entity", "segment"], "left_semi")
+    values = [F.max_by(f"patch.{a}", F.when(F.col(f"patch.{a}").isNotNull(), F.col("seq")))["v"].alias(a) for a in attrs]
+    return near.groupBy("entity").agg(F.max_by("is_end", "seq").alias("_ended"), *values).where("not _ended").drop("_ended")
+
+
 def single_versions(versions: DataFrame, attrs: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> tuple[DataFrame, bool]:
     """Versions with an entity and a begin, each version_id once, with their slice; and whether an entity had to be cut."""
     row = F.max(F.struct("entity", "valid_from", "valid_until", *attrs)).alias("r")
@@ -143,7 +155,7 @@ def snapshot_events(base: DataFrame, snapshots: DataFrame, calendar: DataFrame,
 
 
 def entity_history(versions: DataFrame, snapshots: DataFrame, calendar: DataFrame, attrs: Sequence[str], hash_col: str, every: int = EVERY, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """The whole history of every entity, stored as checkpoints and patches and folded out again.
+    """The whole history of every entity, stored as checkpoints and patches (in the shared folder) and folded out again.
 
     Nulls: rows without entity, versions without begin and snapshots without date are no rows; null attributes are
     values. Empty tables: no versions give the snapshots' history, no snapshots leave the versions as they are.
@@ -152,4 +164,5 @@ def entity_history(versions: DataFrame, snapshots: DataFrame, calendar: DataFram
     base = merged_versions(single, attrs, hash_col, cut)
     base = materialise(base, "versions") if cut else base
     events = _version_events(base, attrs).unionByName(snapshot_events(base, snapshots, calendar, attrs, hash_col))
-    return reconstruct(delta_store(events, attrs, every, cut), attrs, cut)
+    store = materialise(delta_store(events, attrs, every, cut), "history")
+    return reconstruct(store, attrs, cut)

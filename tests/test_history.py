@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from strataforge.functions.values import until
-from strataforge.operators.history import delta_store, entity_history, reconstruct
+from strataforge.operators.history import delta_store, entity_history, reconstruct, state_at
 
 OPEN = dt.datetime(9999, 12, 31)
 D = lambda n, h=0: dt.datetime(2025, 1, 1, h) + dt.timedelta(days=n)
@@ -98,3 +98,18 @@ def test_store_keeps_only_changes_between_checkpoints(spark):
     back = reconstruct(store, ["record_hash", "colour"]).orderBy("effective_from").collect()
     assert [x.colour for x in back] == ["red"] * 5 + [None] * 5
     assert [x.effective_to for x in back] == [D(i + 1) for i in range(9)] + [OPEN]
+
+
+def test_state_at_any_time_equals_the_version_valid_then(spark):
+    r = random.Random(23)
+    events = []
+    for e in "ABCDEF":
+        ended = True
+        for i in range(30):
+            ended = not ended and r.random() < 0.2
+            events.append((e, i, D(i), ended, None if ended else r.choice(["x", "y", None]), None if ended else r.choice("rgb"), -1))
+    store = delta_store(spark.createDataFrame(events, "entity string, ord int, at timestamp_ntz, is_end boolean, record_hash string, colour string, slice int"), ["record_hash", "colour"], every=4)
+    versions = reconstruct(store, ["record_hash", "colour"]).collect()
+    for n in (-1, 0, 3, 4, 17, 29, 50):
+        want = {(v.entity, v.record_hash, v.colour) for v in versions if v.effective_from <= D(n, 5) < v.effective_to}
+        assert {tuple(x) for x in state_at(store, ["record_hash", "colour"], F.lit(D(n, 5)).cast("timestamp_ntz")).collect()} == want
