@@ -45,7 +45,7 @@ def in_force(versions: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataF
 def _join_bucket(events: pa.Table, versions: pa.Table) -> pa.Table:
     import duckdb
 
-    with duckdb.connect(config={"threads": 1, "memory_limit": "600MB"}) as con:
+    with duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""}) as con:
         con.register("events", events)
         con.register("versions", versions)
         found = con.sql(_ASOF).to_arrow_table()

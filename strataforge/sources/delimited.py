@@ -60,17 +60,19 @@ class Files:
             stream.close()
 
     def write_text(self, path: str, text: str) -> None:
-        """Written aside and renamed, so a reader sees the old text or the new."""
+        """Written aside and renamed over the old one in one step, so a reader, or a run after a crash, sees the old text or the new."""
         fs, p = self._at(path)
-        aside = self.jvm.org.apache.hadoop.fs.Path(path + ".new")
+        hadoop = self.jvm.org.apache.hadoop.fs
+        aside = hadoop.Path(path + ".new")
         out = fs.create(aside, True)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        if fs.exists(p):
-            fs.delete(p, False)
-        fs.rename(aside, p)
+        rename = self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename").getEnumConstants()
+        overwrite = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+        overwrite[0] = next(r for r in rename if r.toString() == "OVERWRITE")
+        hadoop.FileContext.getFileContext(fs.getUri(), self.conf).rename(fs.makeQualified(aside), fs.makeQualified(p), overwrite)
 
 
 def header(spark: SparkSession, path: str, delimiter: str = ",") -> list[str]:
@@ -106,11 +108,11 @@ def source_files(spark: SparkSession, root: str, table_name: str, load_type: str
 
 
 def check_header(actual: list[str], contract: DatasetContract, load_type: str, file_name: str) -> bool:
-    """True if the header has the trailing delta_action; raises unless it is the contract's columns, or those and delta_action on a delta."""
-    with_action = [*contract.expected_columns, "delta_action"]
-    if actual == contract.expected_columns or (actual == with_action and load_type == "delta"):
-        return actual == with_action
-    raise ValueError(f"{file_name} schema mismatch. Expected {contract.expected_columns}, on deltas with delta_action; got {actual}")
+    """Whether the header has delta_action. Deltas must have it, after the contract's columns; full extracts must be those columns alone."""
+    delta = load_type == "delta"
+    if actual != [*contract.expected_columns, *["delta_action"] * delta]:
+        raise ValueError(f"{file_name} schema mismatch. Expected {contract.expected_columns}, on deltas with delta_action; got {actual}")
+    return delta
 
 
 def read_source(spark: SparkSession, files: Sequence[str], contract: DatasetContract, load_type: str = "full") -> DataFrame:

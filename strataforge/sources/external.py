@@ -30,6 +30,13 @@ def typed(df: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
     return df.select(*[one(n, k) for n, k in df.dtypes])
 
 
+def failed_casts(df: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
+    """Rows in which a value is there but doesn't parse as its column's type, with _failed_columns: what typed would make null."""
+    after = typed(df.withColumn("_raw", F.struct(*[F.col(f"`{c}`") for c in df.columns])), types)
+    lost = F.array_compact(F.array(*[F.when(F.col(f"_raw.`{c}`").isNotNull() & F.col(f"`{c}`").isNull(), F.lit(c)) for c in df.columns]))
+    return after.withColumn("_failed_columns", F.concat_ws(",", lost)).where("_failed_columns <> ''").select("_raw.*", "_failed_columns")
+
+
 def typed_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, infer_type_by_name(c)) for c in columns])
 

@@ -61,6 +61,9 @@ def test_wrong_counts_headers_and_missing_times_are_audited(spark, root):
     put(root / "clients.csv", HEAD, "1,a,,2025-01-01")
     assert "row 2 missing effective_at or updated_at" in stage(spark, root)["error_message"]
     put(root / "full_sources/2025-01-09/manifest.csv", "source_date,table_name,row_count")
+    put(root / "delta_sources/2025-01-07/manifest.csv", "source_date,table_name,row_count", "2025-01-07,clients.csv,1")
+    put(root / "delta_sources/2025-01-07/clients.csv", HEAD, "1,a,2025-01-01,2025-01-01")
+    assert "schema mismatch" in stage(spark, root, load_type="delta", source_date="2025-01-07")["error_message"]
     with pytest.raises(ValueError, match="missing tables"):
         stage(spark, root, source_date="2025-01-09")
     with pytest.raises(ValueError, match="Unsupported load_type"):
@@ -159,6 +162,8 @@ def test_targets_tables_and_catalog(spark, tmp_path):
     spark.sql("drop table ext_t")
     typed = external.typed(spark.createDataFrame([("1.6", "x", "2025-01-01")], "n string, gross_amount string, a_date string"), {"n": "int"}).first()
     assert typed.n == 2 and typed.gross_amount is None and str(typed.a_date) == "2025-01-01"
+    lost = external.failed_casts(spark.createDataFrame([("1", "2025-01-01"), ("x", "2025-01-01"), (None, "never")], "n string, a_date string"), {"n": "int"}).collect()
+    assert [(r.n, r.a_date, r._failed_columns) for r in lost] == [("x", "2025-01-01", "n"), (None, "never", "a_date")]
     assert delimited.count_rows(spark, str(_csv(tmp_path))) == 1
 
 
