@@ -11,10 +11,11 @@ A pair may stand together if, while both are being built from bytes, no merge ac
 from __future__ import annotations
 
 import json
+import re
 import sys
 import types
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -25,8 +26,10 @@ from pyspark.sql import DataFrame
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Fixed value: the public pattern that splits text before merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pieces kept with their ids; longer ones than this many characters are encoded anew each time.
-KEPT_PIECES, KEPT_LENGTH, KEPT_PAIRS = 400_000, 48, 1_000_000
+#: A single space between two visible ASCII characters always begins a piece: no piece reaches over it, nothing looks back.
+BETWEEN_PIECES = re.compile("(?<=[!-~]) (?=[!-~])")
+#: Stretches and pieces kept with their ids; longer ones than this many characters are encoded anew each time.
+KEPT_STRETCHES, KEPT_PIECES, KEPT_LENGTH, KEPT_PAIRS = 300_000, 400_000, 48, 1_000_000
 NEVER = 1 << 30
 #: Ids in one batch of results, and characters of a text whose pieces may be listed at once.
 IDS_PER_BATCH, LISTED_CHARS = 1_000_000, 1_000_000
@@ -67,7 +70,8 @@ class Encoder:
         self.right_edges: dict[int, list[tuple[int, int]]] = {}
         self.left_edges: dict[int, list[tuple[int, int]]] = {}
         self.pairs: dict[int, bool] = {}
-        self.pieces = _Pieces(self)
+        self.pieces = _Kept(KEPT_PIECES, self.encode_piece)
+        self.stretches = _Kept(KEPT_STRETCHES, self._encode_stretch)
 
     def _edges(self, token: int, side: int, kept: dict[int, list[tuple[int, int]]]) -> list[tuple[int, int]]:
         """The tokens at one edge of a token while it is built, from the byte upwards, each with the place of the merge that consumes it."""
@@ -124,10 +128,18 @@ class Encoder:
             size -= length[token]
         return tuple(out[::-1])
 
+    def _encode_stretch(self, text: str) -> tuple[int, ...]:
+        return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.pattern.findall(text))))
+
     def encode_into(self, text: str, ids: array) -> None:
-        """Appends the text's ids; pieces of a very long text are made one by one, not all at once."""
-        pieces = self.pattern.findall(text) if len(text) <= LISTED_CHARS else (m.group() for m in self.pattern.finditer(text))
-        ids.extend(chain.from_iterable(map(self.pieces.__getitem__, pieces)))
+        """Appends the text's ids, stretch by stretch; pieces of a very long text are made one by one, not all at once."""
+        if len(text) > LISTED_CHARS:
+            pieces = (m.group() for m in self.pattern.finditer(text))
+            ids.extend(chain.from_iterable(map(self.pieces.__getitem__, pieces)))
+            return
+        first, *rest = BETWEEN_PIECES.split(text)
+        ids.extend(self.stretches[first])
+        ids.extend(chain.from_iterable([self.stretches[" " + r] for r in rest]))
 
     def encode(self, text: str) -> list[int]:
         ids = array("i")
@@ -135,19 +147,19 @@ class Encoder:
         return ids.tolist()
 
 
-class _Pieces(dict):
-    """Ids of pieces seen lately."""
+class _Kept(dict):
+    """Ids of strings seen lately; long strings aren't kept, and when it is full it begins anew."""
 
-    def __init__(self, encoder: Encoder) -> None:
+    def __init__(self, most: int, encode: Callable[[str], tuple[int, ...]]) -> None:
         super().__init__()
-        self.encoder = encoder
+        self.most, self.encode = most, encode
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.encoder.encode_piece(piece)
-        if len(piece) <= KEPT_LENGTH:
-            if len(self) >= KEPT_PIECES:
+    def __missing__(self, text: str) -> tuple[int, ...]:
+        ids = self.encode(text)
+        if len(text) <= KEPT_LENGTH:
+            if len(self) >= self.most:
                 self.clear()
-            self[piece] = ids
+            self[text] = ids
         return ids
 
 

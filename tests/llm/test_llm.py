@@ -50,7 +50,7 @@ def test_every_token_of_the_vocabulary_is_itself(encoder, reference):
 def test_encoding_is_exact_on_random_text(encoder, reference):
     r = random.Random(1)
     for _ in range(5000):
-        text = "".join(r.choice("abtheinrsT  \n\t\r.,1e0'é́ßKKİ日本🙂\x00﻿<|endoftext|>") for _ in range(r.randint(0, 60)))
+        text = "".join(r.choice("abtheinrsT    \x1c\x1f\x85\u3000\n\t\r.,1e0'é́ßKKİ日本🙂\x00﻿<|endoftext|>") for _ in range(r.randint(0, 60)))
         assert encoder.encode(text) == reference.encode_ordinary(text)
 
 
