@@ -11,8 +11,7 @@ A pair may stand together if, while both are being built from bytes, no merge ac
 from __future__ import annotations
 
 import json
-import sys
-import types
+import zlib
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -21,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from strataforge.llm.textbuf import worker_value
+
 #: Default place of the vocabulary file.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Fixed value: the public pattern that splits text before merges.
@@ -151,15 +152,6 @@ class _Pieces(dict):
         return ids
 
 
-def worker_encoder(vocabulary: bytes) -> Encoder:
-    """The encoder of this Python worker, made once however many tasks it runs."""
-    kept = sys.modules.setdefault("_strataforge_kept", types.ModuleType("_strataforge_kept"))
-    key = hash(vocabulary)
-    if getattr(kept, "encoder_key", None) != key:
-        kept.encoder, kept.encoder_key = Encoder(vocabulary), key
-    return kept.encoder
-
-
 def encode_corpus(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """doc_id, ids of every row of docs (doc_id, text): whole texts, in place, without a shuffle.
 
@@ -167,11 +159,12 @@ def encode_corpus(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """
     spark = docs.sparkSession
     with open(path, "rb") as f:
-        vocabulary = spark.sparkContext.broadcast(f.read())
+        data = f.read()
+    vocabulary, digest = spark.sparkContext.broadcast(data), f"{len(data)}-{zlib.crc32(data)}"
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(vocabulary.value)
+        encoder = worker_value("encoder", digest, lambda: Encoder(vocabulary.value))
 
         def flush(keys: list, flat: array, ends: list) -> pa.RecordBatch:
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))

@@ -10,6 +10,7 @@ mapped to documents, checked word by word against the text, and overlapping ones
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections import deque
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataforge.llm.spans import merge_spans
-from strataforge.llm.textbuf import Fingerprints, text_blocks
+from strataforge.llm.textbuf import Fingerprints, text_blocks, worker_value
 from strataforge.session import materialise
 
 #: Words a passage must have.
@@ -247,16 +248,17 @@ def search_shard(texts: list[str], phrases: Phrases) -> list[tuple[int, int, int
 
 
 def _search_pass(docs: DataFrame, items: list[tuple[int, str]], words: int, chars: int) -> DataFrame:
-    told = docs.sparkSession.sparkContext.broadcast(json.dumps(items))
+    text = json.dumps(items)
+    told, key = docs.sparkSession.sparkContext.broadcast(text), f"{words}-{hashlib.sha256(text.encode()).hexdigest()}"
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "item_id", "span_start", "span_end")])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases = Phrases([tuple(x) for x in json.loads(told.value)], words)
+        phrases = worker_value("phrases", key, lambda: Phrases([tuple(x) for x in json.loads(told.value)], words))
         for keys, offsets, texts in text_blocks(batches, chars, lambda t: cut_at_words(t, chars, words)):
             found = search_shard(texts, phrases)
             if found:
                 t, item, begin, end = (np.array(c, np.int64) for c in zip(*found))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[t], item, begin + offsets[t], end + offsets[t])], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[t, 0], item, begin + offsets[t], end + offsets[t])], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(search, _SPANS)
 

@@ -1,25 +1,29 @@
-"""Long exact spans shared between records: suffixes of all texts in prefix groups, each group a shallow suffix tree.
-
-A stretch of ``length`` characters is the head of one suffix. Suffixes are divided by a prefix key: the least fingerprint
-among the stretch's ``prefix``-character substrings, which equal stretches share and which neighbouring suffixes mostly
-share too, so that a run of suffixes travels as one segment of text. Then
-
-1. per key, the least and the greatest document are found (partial before the shuffle); a key of one document alone holds
-   nothing shared and its segments go no further;
-2. segments that stand whole in two documents are shared whole, without looking into them;
-3. of the keys that are left with several different segments, one copy of each segment's text is fetched and the keys are
-   dealt to tasks in memory-sized groups. In each group the nodes at depth ``length`` of the tree of suffixes are built: a
-   node is known by the fingerprint of its path, checked character by character against its first leaf, and is shared
-   if its leaves come from two documents. Neighbouring shared suffixes are the maximal repeats;
-4. a key with more different segments than one task should hold is divided by longer prefixes - the whole stretch, whose
-   groups are counted by partial aggregation and never gathered.
-
-Nothing is dropped: a stretch's key depends on the stretch alone, so all its copies meet.
+"""Long exact spans shared between records: the suffixes of all texts divided by prefixes, each group sorted as a suffix tree.
+
+Two records share a stretch of ``length`` characters where two of their suffixes run together in the suffix tree down to
+that depth, so the tree is needed to that depth only: below it every suffix is cut at ``length`` characters, its head.
+
+*Prefixes.* Suffixes are divided by a prefix key: the least fingerprint among the substrings of ``prefix`` characters in
+the head. Equal heads have equal keys, so all leaves of a node meet; and neighbouring suffixes mostly have the same key, so
+a run of them travels as one segment of text instead of one by one. Prefixes are of variable length: a group whose different
+segments have more characters than a task should hold is divided again by longer prefixes, from the texts of its segments,
+until it fits. At the full length a group is one node of the tree and its leaves need only be counted.
+
+*Steps* of one division:
+
+1. per key, the least and the greatest record are found (partial before the shuffle); a key of one record holds nothing
+   shared and its segments go no further;
+2. segments that stand whole in two records are shared whole;
+3. where a key has several different segments and not all are shared, one copy of each is fetched and groups are dealt to
+   tasks. In a group the heads of all suffixes are sorted; equal neighbours in that order are the leaves of one node at
+   depth ``length``, which is shared if they come from two records. Runs of shared suffixes are the maximal repeats.
+
+Sorting compares characters. Segments are equal if their keys and two independent 64-bit fingerprints are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +33,15 @@ from pyspark.sql import functions as F
 from strataforge.llm.textbuf import Fingerprints, code_points, cut_at_characters, text_blocks
 from strataforge.session import materialise
 
-#: Characters a stretch must have, and characters of the substrings its prefix key is chosen from.
-LENGTH, PREFIX = 200, 100
-#: Characters held at once when segments are cut and when trees are built.
-CHARS_PER_BLOCK, CHARS_PER_TREE = 2_000_000, 2_000_000
-#: Different segments a key may have before it is divided by longer prefixes.
-SEGMENTS_PER_KEY = 50_000
+#: Characters a stretch must have, and the lengths of prefixes, the last being the stretch itself.
+LENGTH, PREFIXES = 200, (100, 150, 200)
+#: Characters held at once when segments are cut, and when heads are sorted.
+CHARS_PER_BLOCK, CHARS_PER_TREE = 2_000_000, 400_000
+#: Characters of different segments a prefix group may have; a larger one is divided by longer prefixes. A task holds at most
+#: a tree and a group, and for each suffix in them the bytes of its head: some 300 MB.
+CHARS_PER_GROUP = 400_000
 
-_SEGMENTS = "key bigint, seg bigint, doc_id bigint, pos bigint, n int"
+SEGMENT = ["key", "seg", "seg2"]
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -53,11 +58,14 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def cut_segments(texts: list[str], length: int, prefix: int) -> tuple[np.ndarray, ...]:
-    """text number, start, number of suffixes, key and segment fingerprint of every run of suffixes with one key."""
+    """text number, start, number of suffixes, key and two fingerprints of every run of suffixes with one key.
+
+    With the full length as prefix a run's suffixes all have the same head, and the fingerprints are the head's.
+    """
     symbols, starts = code_points(texts)
     count = len(symbols) - length + 1
     if count <= 0:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     prints = Fingerprints(symbols)
     key = sliding_min(prints.of_all(prefix), length - prefix + 1)
     text_no = np.repeat(np.arange(len(texts)), np.diff(starts))
@@ -68,60 +76,59 @@ def cut_segments(texts: list[str], length: int, prefix: int) -> tuple[np.ndarray
     begins = np.flatnonzero(turn[:-1] & inside)
     # A run ends where the next one begins, or where suffixes become too short.
     last = np.flatnonzero(inside & (turn[1:] | ~np.append(inside[1:], False)))
-    seg = prints.of(begins, last + length)
-    return text_no[begins], begins - starts[text_no[begins]], last + 1 - begins, key[begins].view(np.int64), seg.view(np.int64)
+    ends = (begins if prefix == length else last) + length
+    seg, seg2 = prints.of(begins, ends), Fingerprints(symbols, second=True).of(begins, ends)
+    return text_no[begins], begins - starts[text_no[begins]], last + 1 - begins, key[begins].view(np.int64), seg.view(np.int64), seg2.view(np.int64)
 
 
-def segments(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, block: int = CHARS_PER_BLOCK) -> DataFrame:
-    schema = pa.schema([("key", pa.int64()), ("seg", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int64()), ("n", pa.int32())])
+def segments(units: DataFrame, length: int, prefix: int, block: int) -> DataFrame:
+    """key, seg, seg2, the units' numbers (all columns but the last, the text), pos and n of every segment."""
+    names = units.columns[:-1]
+    out = [*SEGMENT, *names, "pos"]
+    schema = pa.schema([*[(c, pa.int64()) for c in out], ("n", pa.int32())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, offsets, texts in text_blocks(batches, block, lambda t: cut_at_characters(t, block, length - 1)):
-            no, at, n, key, seg = cut_segments(texts, length, prefix)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(seg), pa.array(keys[no]), pa.array(at + offsets[no]), pa.array(n.astype(np.int32))], schema=schema)
+            no, at, n, key, seg, seg2 = cut_segments(texts, length, prefix)
+            numbers = [pa.array(keys[no, i]) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(seg), pa.array(seg2), *numbers, pa.array(at + offsets[no]), pa.array(n.astype(np.int32))], schema=schema)
+
+    return units.mapInArrow(cut, ", ".join(f"{c} bigint" for c in out) + ", n int")
 
-    return docs.select("doc_id", "text").mapInArrow(cut, _SEGMENTS)
 
+def sorted_heads(symbols: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The positions' order by the ``length`` characters that begin there, and where in that order another head begins."""
+    present = np.zeros(int(symbols.max(initial=0)) + 1, bool)
+    present[symbols] = True
+    codes = np.cumsum(present)[symbols]  # from 1, as a zero at the end would not count
+    width = max(1, (int(codes.max(initial=0)).bit_length() + 7) // 8)
+    # Most significant byte first, so that comparing bytes compares characters.
+    raw = np.ascontiguousarray(codes.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 4 - width :]).ravel()
+    heads = np.lib.stride_tricks.sliding_window_view(raw, length * width)[at * width]
+    order = np.argsort(heads.view(f"S{length * width}").ravel())
+    new = np.ones(len(order), bool)
+    for part in np.array_split(np.arange(1, len(order)), len(order) // 50_000 + 1):
+        new[part] = (heads[order[part]] != heads[order[part - 1]]).any(axis=1)
+    return order, new
 
-def shared_suffixes(texts: list[str], group: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
-    """For every suffix of the texts that is long enough, in order: does its head stand in two documents of its group?
 
-    ``group``: the texts' prefix groups; ``first`` and ``last``: least and greatest document that has the text.
+def shared_suffixes(texts: list[str], first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
+    """For every suffix of the texts that is long enough, in order: does its head stand in two records?
+
+    ``first`` and ``last``: least and greatest record that has the text.
     """
     symbols, starts = code_points(texts)
     heads = np.diff(starts) - (length - 1)
     text_no = np.repeat(np.arange(len(texts)), heads)
-    suffix = np.arange(heads.sum()) - np.repeat(np.cumsum(heads) - heads, heads) + starts[text_no]
-    path = Fingerprints(symbols).of(suffix, suffix + length) ^ (group[text_no].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order = np.argsort(path, kind="stable")
-    new = np.empty(len(order), bool)
-    new[:1] = True
-    new[1:] = path[order][1:] != path[order][:-1]
-    node = np.cumsum(new) - 1
-    leaf = np.empty(len(order), np.int64)  # each suffix's node's first leaf
-    leaf[order] = order[np.flatnonzero(new)][node]
-    node_of = np.empty(len(order), np.int64)
-    node_of[order] = node
-    # Where a suffix and its node's first leaf follow two that were compared, only their last characters are new.
-    follows = np.zeros(len(order), bool)
-    follows[1:] = (text_no[1:] == text_no[:-1]) & (leaf[1:] == leaf[:-1] + 1) & (text_no[leaf[1:]] == text_no[leaf[:-1]])
-    same = symbols[suffix + length - 1] == symbols[suffix[leaf] + length - 1]
-    whole = np.flatnonzero(~follows & (leaf != np.arange(len(order))))
-    for part in np.array_split(whole, max(1, len(whole) * length // 8_000_000)):
-        span = np.arange(length)
-        same[part] &= (symbols[suffix[part][:, None] + span] == symbols[suffix[leaf[part]][:, None] + span]).all(axis=1)
-    if not same.all():  # two paths with one fingerprint: tell the nodes apart by their characters
-        doubtful = np.flatnonzero(np.isin(node_of, node_of[~same]) | ~same)
-        found: dict[tuple[int, bytes], int] = {}
-        top = len(new)
-        for i in doubtful:
-            path_chars = int(group[text_no[i]]), symbols[suffix[i] : suffix[i] + length].tobytes()
-            node_of[i] = found.setdefault(path_chars, top + len(found))
-    least = np.full(node_of.max(initial=-1) + 1, np.iinfo(np.int64).max)
-    most = np.full(len(least), np.iinfo(np.int64).min)
-    np.minimum.at(least, node_of, first[text_no])
-    np.maximum.at(most, node_of, last[text_no])
-    return (least != most)[node_of]
+    at = np.arange(heads.sum()) - np.repeat(np.cumsum(heads) - heads, heads) + starts[text_no]
+    if not len(at):
+        return np.zeros(0, bool)
+    order, new = sorted_heads(symbols, at, length)
+    nodes = np.flatnonzero(new)
+    least, most = np.minimum.reduceat(first[text_no[order]], nodes), np.maximum.reduceat(last[text_no[order]], nodes)
+    shared = np.empty(len(order), bool)
+    shared[order] = (least != most)[np.cumsum(new) - 1]
+    return shared
 
 
 def _ranges(shared: np.ndarray, heads: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -135,67 +142,96 @@ def _ranges(shared: np.ndarray, heads: np.ndarray, length: int) -> tuple[np.ndar
     return text_no[begin], local[begin], local[end] + length
 
 
-def _trees(grouped: DataFrame, length: int, chars: int) -> DataFrame:
-    """key, seg, begin, end of the shared parts of segments (key, seg, first, last, body); each partition sorted by key."""
-    schema = pa.schema([("key", pa.int64()), ("seg", pa.int64()), ("begin", pa.int32()), ("end", pa.int32())])
+def _trees(grouped: DataFrame, length: int, held_chars: int, group_chars: int) -> DataFrame:
+    """key, seg, seg2, begin, end of the shared parts of segments (key, seg, seg2, first, last, body).
+
+    Each partition is sorted by key. Whole groups are held together, as many as fit; none may be larger than promised.
+    """
+    out = [*SEGMENT, "begin", "end"]
+    schema = pa.schema([(c, pa.int64()) for c in out])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size = 0
+        size = in_group = 0
 
         def flush() -> pa.RecordBatch:
-            key, seg, first, last = (np.array(c, np.int64) for c in zip(*[r[:4] for r in held]))
-            bodies = [r[4] for r in held]
-            shared = shared_suffixes(bodies, key, first, last, length)
-            no, begin, end = _ranges(shared, np.array([len(b) for b in bodies]) - (length - 1), length)
-            return pa.RecordBatch.from_arrays([pa.array(key[no]), pa.array(seg[no]), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32))], schema=schema)
+            key, seg, seg2, first, last = (np.array(c, np.int64) for c in zip(*[r[:5] for r in held]))
+            bodies = [r[5] for r in held]
+            no, begin, end = _ranges(shared_suffixes(bodies, first, last, length), np.array([len(b) for b in bodies]) - (length - 1), length)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (key[no], seg[no], seg2[no], begin, end)], schema=schema)
 
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns]):
-                if size >= chars and row[0] != held[-1][0]:
-                    yield flush()
-                    held, size = [], 0
+                if held and row[0] != held[-1][0]:
+                    in_group = 0
+                    if size >= held_chars:
+                        yield flush()
+                        held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[5])
+                in_group += len(row[5])
+                if in_group > group_chars:
+                    raise RuntimeError(f"A prefix group has more than {group_chars} characters")
         if held:
             yield flush()
 
-    return grouped.select("key", "seg", "first", "last", "body").mapInArrow(build, "key bigint, seg bigint, begin int, end int")
+    return grouped.select(*SEGMENT, "first", "last", "body").mapInArrow(build, ", ".join(f"{c} bigint" for c in out))
 
 
-def _bodies(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """wanted (key, seg, first, last, pos, n; the copy at pos of document first) with the segment's text as body."""
-    asked = wanted.groupBy(F.col("first").alias("doc_id")).agg(F.collect_list(F.struct("key", "seg", "last", "pos", "n")).alias("asked"))
-    # What is asked of a document is bounded by the document; the smaller side is the one built into a table.
-    both = docs.select("doc_id", "text").join(asked.hint("shuffle_hash"), "doc_id")
-    schema = pa.schema([("key", pa.int64()), ("seg", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("body", pa.string())])
+def _bodies(units: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """wanted (key, seg, seg2, first, last, unit, pos, n) with the text of the segment at pos of the unit as body."""
+    asked = wanted.groupBy("unit").agg(F.collect_list(F.struct(*SEGMENT, "first", "last", "pos", "n")).alias("asked"))
+    # What is asked of a unit is bounded by its text; the smaller side is the one built into a table.
+    both = units.select("unit", "text").join(asked.hint("shuffle_hash"), "unit").select("text", "asked")
+    names = [*SEGMENT, "first", "last"]
+    schema = pa.schema([*[(c, pa.int64()) for c in names], ("body", pa.string())])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            asked_col = batch.column(2)
-            for i, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+            out: list[list] = [[] for _ in schema]
+            for text, asked_here in zip(batch.column(0), batch.column(1)):
                 whole = text.as_py()
-                for a in asked_col[i].as_py():
-                    for c, v in zip(out, (a["key"], a["seg"], doc_id, a["last"], whole[a["pos"] : a["pos"] + a["n"] + length - 1])):
+                for a in asked_here.as_py():
+                    for c, v in zip(out, (*(a[x] for x in names), whole[a["pos"] : a["pos"] + a["n"] + length - 1])):
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
-    return both.select("doc_id", "text", "asked").mapInArrow(take, "key bigint, seg bigint, first bigint, last bigint, body string")
-
+    return both.mapInArrow(take, ", ".join(f"{c} bigint" for c in names) + ", body string")
 
-def _long_prefixes(hot: DataFrame, length: int) -> DataFrame:
-    """The shared parts of segments of keys too large for a task: each suffix grouped by its whole head.
 
-    Groups are counted by least and greatest document before the shuffle; neighbouring suffixes are joined again in
-    their segment, which is no longer than a few hundred characters.
-    """
-    head = F.explode(F.sequence(F.lit(0), F.length("body") - length)).alias("begin")
-    suffixes = hot.select("key", "seg", "first", "last", "body", head).select("key", "seg", "first", "last", "begin", F.expr(f"substring(body, begin + 1, {length})").alias("head"))
-    nodes = suffixes.select("key", F.xxhash64("head").alias("h1"), F.hash("head").alias("h2"), "seg", "first", "last", "begin")
-    shared = nodes.groupBy("key", "h1", "h2").agg(F.min("first").alias("a"), F.max("last").alias("z")).where("a <> z").select("key", "h1", "h2")
-    kept = nodes.join(shared, ["key", "h1", "h2"], "left_semi")
-    return kept.select("key", "seg", "begin", (F.col("begin") + length).alias("end"))
+def _divide(units: DataFrame, length: int, prefixes: Sequence[int], block: int, tree: int, group: int) -> DataFrame:
+    """unit, span_start, span_end: the stretches of units (unit, text, and first and last, the least and greatest record that
+    has the text; without them a unit is a record) that stand in two records. Divided by the first of the prefixes."""
+    prefix, *longer = prefixes
+    of_units = "first" in units.columns
+    first, last = (F.col("first"), F.col("last")) if of_units else (F.col("unit"), F.col("unit"))
+    segs = segments(units.select("unit", *["first", "last"] * of_units, "text"), length, prefix, block)
+    keys = segs.groupBy("key").agg(F.min(first).alias("a"), F.max(last).alias("z")).where("a <> z").select("key")
+    kept = materialise(segs.join(keys, "key"), "shared-segments")
+    place = F.struct("unit", "pos")
+    each = kept.groupBy(*SEGMENT).agg(F.min(first).alias("first"), F.max(last).alias("last"), F.min(place).alias("model"), F.max("n").alias("most"))
+    open_ = F.col("first") == F.col("last")
+    size = F.sum(F.col("most").cast("long") + length - 1)
+    per_key = each.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("mixed"), F.count_if(open_).alias("open"), size.alias("chars"))
+    state = each.join(per_key.select("key", F.when(F.col("mixed") & (F.col("open") > 0), F.col("chars")).alias("chars")), "key").drop("most")
+    placed = materialise(kept.select(*SEGMENT, "unit", "pos", "n").join(state, SEGMENT).withColumn("model", F.col("model") == place), "placed-segments")
+    whole = placed.where("first <> last").select("unit", F.col("pos").alias("span_start"), (F.col("pos") + F.col("n") + length - 1).alias("span_end"))
+    if not longer:  # a group is one node
+        return whole
+    wanted = placed.where("model and chars is not null")
+    fits = F.col("chars") <= group
+    bodies = _bodies(units, wanted.where(fits), length)
+    parts = _trees(bodies.repartition("key").sortWithinPartitions("key"), length, tree, group)
+    large = wanted.where(~fits)
+    if not large.isEmpty():
+        inner = materialise(_bodies(units, large, length).withColumn("unit", F.monotonically_increasing_id()), "large-groups")
+        found = _divide(inner.withColumnRenamed("body", "text"), length, longer, block, tree, group)
+        named = found.join(inner.select("unit", *SEGMENT), "unit")
+        parts = parts.unionByName(named.select(*SEGMENT, F.col("span_start").alias("begin"), F.col("span_end").alias("end")))
+    # Those that stand whole in two records are done already; the parts are for the rest.
+    rest = placed.where((F.col("first") == F.col("last")) & F.col("chars").isNotNull()).select(*SEGMENT, "unit", "pos")
+    inside = rest.join(parts, SEGMENT).select("unit", (F.col("pos") + F.col("begin")).alias("span_start"), (F.col("pos") + F.col("end")).alias("span_end"))
+    return whole.unionByName(inside)
 
 
 def merge_spans(spans: DataFrame, *keys: str) -> DataFrame:
@@ -208,32 +244,15 @@ def merge_spans(spans: DataFrame, *keys: str) -> DataFrame:
     return runs.groupBy(*by, "run").agg(F.min("span_start").alias("span_start"), F.max("span_end").alias("span_end")).drop("run")
 
 
-def shared_spans(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, *, block: int = CHARS_PER_BLOCK, tree: int = CHARS_PER_TREE, segments_per_key: int = SEGMENTS_PER_KEY) -> DataFrame:
+def shared_spans(docs: DataFrame, length: int = LENGTH, prefixes: Sequence[int] = PREFIXES, *, block: int = CHARS_PER_BLOCK, tree: int = CHARS_PER_TREE, group: int = CHARS_PER_GROUP) -> DataFrame:
     """doc_id, span_start, span_end (code points): the longest runs of characters that lie in a stretch of ``length``
     characters which also stands in another document.
 
-    Null, empty and too short texts have no spans; a document that repeats itself doesn't share with itself; any number of
-    copies of a text is fine; very long texts are cut in overlapping pieces. Only doc_id and text are read.
+    ``prefixes`` rise and end with ``length``. Null, empty and too short texts have no spans; a document that repeats itself
+    doesn't share with itself; any number of copies of a text is fine; very long texts are cut in overlapping pieces. Only
+    doc_id and text are read.
     """
-    segs = segments(docs, length, prefix, block)
-    keys = segs.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a <> z").select("key")
-    kept = materialise(segs.join(keys, "key"), "shared-segments")
-    # Segments of the same key, fingerprint and number of suffixes are the same text.
-    each = kept.groupBy("key", "seg", "n").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    per_key = each.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
-    kinds = each.join(per_key, "key")
-    same = ["key", "seg", "n"]
-    placed = materialise(kept.join(kinds, same), "placed-segments")
-    whole = placed.where("first <> last").select("doc_id", F.col("pos").alias("span_start"), (F.col("pos") + F.col("n") + length - 1).alias("span_end"))
-    mixed = placed.where("kinds > 1")
-    wanted = mixed.where("doc_id = first").groupBy(*same, "first", "last", "kinds").agg(F.min("pos").alias("pos"))
-    bodies = _bodies(docs, wanted.where(F.col("kinds") <= segments_per_key), length)
-    grouped = bodies.repartition("key").sortWithinPartitions("key")
-    parts = _trees(grouped, length, tree)
-    if not placed.where(F.col("kinds") > segments_per_key).isEmpty():
-        hot = wanted.where(F.col("kinds") > segments_per_key)
-        parts = parts.unionByName(_long_prefixes(_bodies(docs, hot, length), length))
-    # Those that stand whole in two documents are done already; the parts are for the rest.
-    rest = mixed.where("first = last").select("key", "seg", "doc_id", "pos")
-    inner = rest.join(parts, ["key", "seg"]).select("doc_id", (F.col("pos") + F.col("begin")).alias("span_start"), (F.col("pos") + F.col("end")).alias("span_end"))
-    return merge_spans(whole.unionByName(inner))
+    if list(prefixes) != sorted(set(prefixes)) or prefixes[-1] != length:
+        raise ValueError(f"prefixes must rise and end with {length}: {prefixes}")
+    units = docs.select(F.col("doc_id").cast("long").alias("unit"), "text")
+    return merge_spans(_divide(units, length, prefixes, block, tree, group).withColumnRenamed("unit", "doc_id"))

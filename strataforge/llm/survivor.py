@@ -1,63 +1,110 @@
 """Best representative of each duplicate group: field by field, by votes.
 
-Fields become long rows; each row votes for its normalised value with trust times recency decay; the value with the most
-votes wins its field, the strongest row behind it gives the value, and the winners are turned back into one row a group.
-
-Trust and recency give a group's rows an order for each field (trusted first, then newer, then higher row id), and a vote is
-a third of the one before it. All later votes together are then less than any earlier one, so a value backed by the best row
-can't be outvoted: precedence is strict, as asked for. Votes beyond place 40 are under 1e-19 of the first and vanish in a
-double sum, so rows beyond it aren't shuffled; that changes no digit of any tally.
+Every row votes for the value each of its fields has: with its source's trust, halved for every half-life it is older than
+the field's strongest vote. Votes are summed by normalised value, the value with the most wins its field, the strongest row
+behind it gives the value as it is written, and the winners are turned back into one row a group.
+
+Trust is given in bits (each bit doubles the vote) and recency as a whole number in any unit, so that a vote is
+2 ** (bits + recency / half_life) up to a factor that is the same for the whole field. Exponents are kept as whole bits and a
+fraction, so votes may be as far apart as they like. A half-life below the recency's unit, with a trust above any age, makes
+precedence strict: trusted before untrusted, then newer before older, since with half a unit a vote is a quarter of the one a
+unit newer, and all later votes together are less than any earlier one.
+
+Of a group's rows with the same trust and recency only the one with the highest id speaks for a field (it is the tie's
+resolution, and repeated deliveries of one moment don't outvote others), unless ``every_row`` votes. Counts, strongest votes and
+sums are partial aggregates; where a group has more rows than a task should get, its rows are spread before they meet the
+group's strongest votes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Each vote is this part of the one before it; below 1/2 the later ones can never add up to an earlier one.
-DECAY = 1 / 3
-#: Places whose votes are above the precision of a double.
-PLACES = 40
-
+from strataforge.session import materialise
 
-def unpivot(rows: DataFrame, keys: Sequence[str], fields: dict[str, Column], trusted: Column, recency: Column, row_id: Column) -> DataFrame:
-    """keys, field, value, norm, trusted, recency, row_id: a row for each field that has a value.
+#: Votes of one group that one task should get.
+ROWS_PER_GROUP = 500_000
+#: Recency of a row that has none: before any timestamp there is, in microseconds.
+OLDEST = -(10**17)
+#: Votes are whole multiples of this: their sums don't depend on the order they are added in.
+GRAIN = 2.0**-32
 
-    ``fields`` gives each field's value, null where it isn't filled; values are compared trimmed and lower-cased.
-    """
-    pairs = F.array(*[F.struct(F.lit(name).alias("field"), value.cast("string").alias("value")) for name, value in fields.items()])
-    long = rows.select(*keys, trusted.alias("trusted"), recency.alias("recency"), row_id.alias("row_id"), F.explode(pairs).alias("p"))
-    return long.where("p.value is not null").select(*keys, "p.field", "p.value", F.lower(F.trim("p.value")).alias("norm"), "trusted", "recency", "row_id")
 
+def microseconds(c: Column) -> Column:
+    """A timestamp without zone as a whole number, whatever the session's zone; null for null."""
+    at = c.cast("timestamp_ntz")
+    seconds = F.unix_date(at.cast("date")).cast("long") * 86_400 + F.hour(at) * 3600 + F.minute(at) * 60
+    return seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), at) * 1_000_000).cast("long")
 
-def winners(long: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """keys, field, value, row_id, votes of each field's winning value; row_id is its strongest row.
 
-    Null trust counts as untrusted, null recency as oldest. Ties on trust and recency go to the higher row_id; repeated
-    rows add their votes to the same value.
-    """
-    order = [F.coalesce("trusted", F.lit(False)).desc(), F.col("recency").desc_nulls_last(), F.col("row_id").desc(), F.col("norm").asc()]
-    place = F.row_number().over(Window.partitionBy(*keys, "field").orderBy(*order))
-    votes = long.withColumn("place", place).where(F.col("place") <= PLACES).withColumn("vote", F.pow(F.lit(DECAY), F.col("place") - 1))
-    tally = votes.groupBy(*keys, "field", "norm").agg(F.sum("vote").alias("votes"), F.max_by(F.struct("value", "row_id"), "vote").alias("best"))
-    win = tally.groupBy(*keys, "field").agg(F.max_by(F.struct("best", "votes"), "votes").alias("w"))
-    return win.select(*keys, "field", F.col("w.best.value").alias("value"), F.col("w.best.row_id").alias("row_id"), F.col("w.votes").alias("votes"))
+def _exponent(trust: Column, recency: Column, half_life: float) -> tuple[Column, Column]:
+    """Whole bits and the fraction of a bit, 0 to 1, of a row's vote; exact where half_life is one part of a whole number."""
+    age, bits = F.coalesce(recency.cast("long"), F.lit(OLDEST)), F.coalesce(trust.cast("double"), F.lit(0.0))
+    if (1 / half_life).is_integer():
+        return age * F.lit(int(1 / half_life)) + F.floor(bits), bits - F.floor(bits)
+    steps = age / F.lit(half_life)
+    rest = (steps - F.floor(steps)) + (bits - F.floor(bits))
+    return F.floor(steps) + F.floor(bits) + F.floor(rest), rest - F.floor(rest)
 
 
-def survivors(rows: DataFrame, keys: Sequence[str], fields: dict[str, Column], trusted: Column, recency: Column, row_id: Column) -> DataFrame:
-    """One row a group: keys and, for each field, struct(value, row_id, votes), null where no row fills it.
+def moments(rows: DataFrame, keys: Sequence[str], fields: dict[str, Column], trust: Column, recency: Column, row_id: Column, half_life: float, votes: Column | None = None, every_row: bool = False) -> DataFrame:
+    """keys, bits and part (the vote's exponent), rows (all of the group's at that moment) and for each field what is voted for:
+    struct(row_id, value) or null.
 
-    A group none of whose fields is filled anywhere gives no row; an empty table gives none. Rows with a null key form a
-    group like any other.
+    ``fields`` gives each field's value, null where it isn't filled; ``votes`` is false for rows that count but don't vote.
+    Null trust is 0 bits, null recency OLDEST.
     """
-    won = winners(unpivot(rows, keys, fields, trusted, recency, row_id), keys)
-    pick = [F.max(F.when(F.col("field") == name, F.struct("value", "row_id", "votes"))).alias(name) for name in fields]
-    return won.groupBy(*keys).agg(*pick)
-
-
-def duplicated(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose keys more than one row has."""
-    many = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
-    return rows.join(many, list(keys), "left_semi")
+    bits, part = _exponent(trust, recency, half_life)
+    may = F.lit(True) if votes is None else votes
+    said = {name: F.when(may & value.isNotNull(), F.struct(row_id.alias("row_id"), value.cast("string").alias("value"))) for name, value in fields.items()}
+    wide = rows.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], bits.alias("_bits"), part.alias("_part"), row_id.alias("_id"), *[c.alias(f"_f{i}") for i, c in enumerate(said.values())])
+    return wide.groupBy(*[f"_k{i}" for i in range(len(keys))], "_bits", "_part", *["_id"] * every_row).agg(F.count(F.lit(1)).alias("_rows"), *[F.max(f"_f{i}").alias(f"_f{i}") for i in range(len(fields))])
+
+
+def survivors(
+    rows: DataFrame, keys: Sequence[str], fields: dict[str, Column], *, trust: Column, recency: Column, row_id: Column, half_life: float, votes: Column | None = None, every_row: bool = False,
+    at_least: int = 1, rows_per_group: int = ROWS_PER_GROUP,
+) -> DataFrame:
+    """One row for each group of at least ``at_least`` rows: keys and, for each field, struct(value, row_id, votes), null where no row fills it.
+
+    ``votes`` of a field is the winning value's sum, the field's strongest single vote counting 1 to 2. Of values with
+    equal sums the one with the strongest row wins, then the highest row id. A group none of whose fields is filled gives no
+    row; an empty table gives none. Rows with a null key form a group like any other. Values are compared trimmed and lower-cased.
+    """
+    by = [f"_k{i}" for i in range(len(keys))]
+    # Read twice: for each field's strongest vote and for the votes themselves.
+    cast = materialise(moments(rows, keys, fields, trust, recency, row_id, half_life, votes, every_row), "votes")
+    top = [F.max(F.when(F.col(f"_f{i}").isNotNull(), F.col("_bits"))).alias(f"_m{i}") for i in range(len(fields))]
+    groups = cast.groupBy(*by).agg(F.sum("_rows").alias("_all"), F.count(F.lit(1)).alias("_n"), *top).where(F.col("_all") >= at_least).drop("_all")
+    hot = (groups.agg(F.max("_n")).first()[0] or 0) > rows_per_group
+    salts = F.ceil(F.col("_n") / F.lit(rows_per_group)).cast("int")
+    if hot:
+        cast = cast.withColumn("_h", F.xxhash64("_bits", "_part", *[f"_f{i}.row_id" for i in range(len(fields))]))
+        sizes = groups.select(*[F.col(k).alias(f"_s{k}") for k in by], salts.alias("_salts")).where("_salts > 1")
+        same = [F.col(k).eqNullSafe(F.col(f"_s{k}")) for k in by]
+        # Groups larger than a task should get are few: at most rows / rows_per_group; Spark chooses how to join by their size.
+        cast = cast.join(sizes, _all(same), "left").withColumn("_salt", F.coalesce(F.pmod("_h", "_salts"), F.lit(0))).drop("_h", "_salts", *[f"_s{k}" for k in by])
+        groups = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts.cast("long") - 1)))
+    else:
+        cast, groups = cast.withColumn("_salt", F.lit(0)), groups.withColumn("_salt", F.lit(0))
+    right = groups.drop("_n").withColumnsRenamed({c: f"_g{c}" for c in [*by, "_salt"]})
+    met = cast.join(right, _all([F.col(c).eqNullSafe(F.col(f"_g{c}")) for c in [*by, "_salt"]]))
+    vote = [F.struct(F.lit(i).alias("i"), F.col(f"_f{i}").alias("said"), (F.col("_bits") - F.col(f"_m{i}")).alias("below")) for i in range(len(fields))]
+    long = met.select(*by, "_bits", "_part", F.explode(F.array(*vote)).alias("v")).where("v.said is not null")
+    strength = F.floor(F.pow(F.lit(2.0), F.col("v.below") + F.col("_part")) / GRAIN) * GRAIN
+    best = F.max(F.struct(F.col("_bits").alias("bits"), F.col("_part").alias("part"), F.col("v.said.row_id").alias("row_id"), F.col("v.said.value").alias("value")))
+    tally = long.groupBy(*by, F.col("v.i").alias("i"), F.lower(F.trim("v.said.value")).alias("norm")).agg(F.sum(strength).alias("votes"), best.alias("best"))
+    won = tally.groupBy(*by, "i").agg(F.max(F.struct("votes", "best")).alias("w"))
+    result = F.struct(F.col("w.best.value").alias("value"), F.col("w.best.row_id").alias("row_id"), F.col("w.votes").alias("votes"))
+    wide = won.groupBy(*by).agg(*[F.max(F.when(F.col("i") == i, result)).alias(name) for i, name in enumerate(fields)])
+    return wide.withColumnsRenamed(dict(zip(by, keys)))
+
+
+def _all(conditions: Sequence[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +36,14 @@ def scramble(x: np.ndarray) -> np.ndarray:
 
 
 class Fingerprints:
-    """64-bit fingerprints of any stretch of a block of symbols, each O(1)."""
+    """64-bit fingerprints of any stretch of a block of symbols, each O(1). ``second``: others, independent of the first."""
 
-    def __init__(self, symbols: np.ndarray) -> None:
+    def __init__(self, symbols: np.ndarray, second: bool = False) -> None:
         n = len(symbols)
         up, self.down = powers(n)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((symbols.astype(np.uint64) * _MIX + np.uint64(0x2545F491)) * up[:n], out=self.sums[1:])
+        wide = symbols.astype(np.uint64)
+        np.cumsum((scramble(wide + np.uint64(0x1F83D9AB)) if second else wide * _MIX + np.uint64(0x2545F491)) * up[:n], out=self.sums[1:])
 
     def of_all(self, length: int) -> np.ndarray:
         """Of every stretch of this length."""
@@ -65,18 +69,20 @@ def cut_at_characters(text: str, chars: int, overlap: int) -> Iterator[tuple[int
 
 
 def text_blocks(batches: Iterator[pa.RecordBatch], chars: int, cut: Callable[[str], Iterator[tuple[int, str]]]) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
-    """Keys, offsets and texts of (key, text) batches in blocks of about ``chars`` characters; null and empty texts are left out.
+    """Keys, offsets and texts of batches of whole-number columns and a text in blocks of about ``chars`` characters; rows
+    with a null key and null and empty texts are left out. ``keys`` has a row for each text, a column for each number.
 
     A text longer than a block comes in the pieces ``cut`` makes of it, each with its offset in the text.
     """
-    keys: list[int] = []
+    keys: list[tuple[int, ...]] = []
     offsets: list[int] = []
     texts: list[str] = []
     size = 0
     for batch in batches:
-        for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+        *numbers, column = batch.columns
+        for key, value in zip(zip(*[n.to_pylist() for n in numbers]), column):
             text = value.as_py()
-            if key is None or not text:
+            if None in key or not text:
                 continue
             for at, piece in cut(text) if len(text) > chars else ((0, text),):
                 keys.append(key)
@@ -88,3 +94,11 @@ def text_blocks(batches: Iterator[pa.RecordBatch], chars: int, cut: Callable[[st
                     keys, offsets, texts, size = [], [], [], 0
     if texts:
         yield np.array(keys, np.int64), np.array(offsets, np.int64), texts
+
+
+def worker_value(name: str, key: int | str, build: Callable[[], Any]) -> Any:
+    """What ``build`` makes, made once in this Python worker however many tasks it runs; another key replaces it."""
+    kept = sys.modules.setdefault("_strataforge_kept", types.ModuleType("_strataforge_kept")).__dict__
+    if kept.get(name, (None,))[0] != key:
+        kept[name] = key, build()
+    return kept[name][1]
