@@ -36,10 +36,10 @@ from strataforge.session import materialise
 #: Characters a stretch must have, and the lengths of prefixes, the last being the stretch itself.
 LENGTH, PREFIXES = 200, (100, 150, 200)
 #: Characters held at once when segments are cut, and when heads are sorted.
-CHARS_PER_BLOCK, CHARS_PER_TREE = 2_000_000, 400_000
+CHARS_PER_BLOCK, CHARS_PER_TREE = 2_000_000, 200_000
 #: Characters of different segments a prefix group may have; a larger one is divided by longer prefixes. A task holds at most
 #: a tree and a group, and for each suffix in them the bytes of its head: some 300 MB.
-CHARS_PER_GROUP = 400_000
+CHARS_PER_GROUP = 1_000_000
 
 SEGMENT = ["key", "seg", "seg2"]
 
@@ -57,15 +57,15 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def cut_segments(texts: list[str], length: int, prefix: int) -> tuple[np.ndarray, ...]:
-    """text number, start, number of suffixes, key and two fingerprints of every run of suffixes with one key.
+def cut_segments(texts: list[str], length: int, prefix: int, keys_only: bool = False) -> tuple[np.ndarray, ...]:
+    """text number and key, start, number of suffixes and two fingerprints of every run of suffixes with one key; or the first two.
 
     With the full length as prefix a run's suffixes all have the same head, and the fingerprints are the head's.
     """
     symbols, starts = code_points(texts)
     count = len(symbols) - length + 1
     if count <= 0:
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
+        return tuple(np.zeros(0, np.int64) for _ in range(2 if keys_only else 6))
     prints = Fingerprints(symbols)
     key = sliding_min(prints.of_all(prefix), length - prefix + 1)
     text_no = np.repeat(np.arange(len(texts)), np.diff(starts))
@@ -74,26 +74,36 @@ def cut_segments(texts: list[str], length: int, prefix: int) -> tuple[np.ndarray
     turn[0] = turn[-1] = True
     turn[1:-1] = (key[1:] != key[:-1]) | (text_no[1:count] != text_no[: count - 1])
     begins = np.flatnonzero(turn[:-1] & inside)
+    if keys_only:
+        return text_no[begins], key[begins].view(np.int64)
     # A run ends where the next one begins, or where suffixes become too short.
     last = np.flatnonzero(inside & (turn[1:] | ~np.append(inside[1:], False)))
     ends = (begins if prefix == length else last) + length
     seg, seg2 = prints.of(begins, ends), Fingerprints(symbols, second=True).of(begins, ends)
-    return text_no[begins], begins - starts[text_no[begins]], last + 1 - begins, key[begins].view(np.int64), seg.view(np.int64), seg2.view(np.int64)
+    return text_no[begins], key[begins].view(np.int64), begins - starts[text_no[begins]], last + 1 - begins, seg.view(np.int64), seg2.view(np.int64)
 
 
-def segments(units: DataFrame, length: int, prefix: int, block: int) -> DataFrame:
-    """key, seg, seg2, the units' numbers (all columns but the last, the text), pos and n of every segment."""
+def segments(units: DataFrame, length: int, prefix: int, block: int, keys_only: bool = False) -> DataFrame:
+    """key, the units' numbers (all columns but the last, the text), seg, seg2, pos and n of every segment; ``keys_only``: key and
+    numbers alone, once for each block of texts."""
     names = units.columns[:-1]
-    out = [*SEGMENT, *names, "pos"]
-    schema = pa.schema([*[(c, pa.int64()) for c in out], ("n", pa.int32())])
+    out = ["key", *names] if keys_only else [*SEGMENT, *names, "pos", "n"]
+    schema = pa.schema([(c, pa.int64()) for c in out])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, offsets, texts in text_blocks(batches, block, lambda t: cut_at_characters(t, block, length - 1)):
-            no, at, n, key, seg, seg2 = cut_segments(texts, length, prefix)
-            numbers = [pa.array(keys[no, i]) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(seg), pa.array(seg2), *numbers, pa.array(at + offsets[no]), pa.array(n.astype(np.int32))], schema=schema)
+            no, key, *rest = cut_segments(texts, length, prefix, keys_only)
+            if keys_only:
+                order = np.lexsort((no, key))
+                again = (np.diff(key[order], prepend=key[order][:1] + 1) == 0) & (np.diff(no[order], prepend=-1) == 0)
+                no, key = no[order][~again], key[order][~again]
+                found = [key, *keys[no].T]
+            else:
+                at, n, seg, seg2 = rest
+                found = [key, seg, seg2, *keys[no].T, at + offsets[no], n]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], schema=schema)
 
-    return units.mapInArrow(cut, ", ".join(f"{c} bigint" for c in out) + ", n int")
+    return units.mapInArrow(cut, ", ".join(f"{c} bigint" for c in out))
 
 
 def sorted_heads(symbols: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,13 +215,13 @@ def _divide(units: DataFrame, length: int, prefixes: Sequence[int], block: int,
     prefix, *longer = prefixes
     of_units = "first" in units.columns
     first, last = (F.col("first"), F.col("last")) if of_units else (F.col("unit"), F.col("unit"))
-    segs = segments(units.select("unit", *["first", "last"] * of_units, "text"), length, prefix, block)
-    keys = segs.groupBy("key").agg(F.min(first).alias("a"), F.max(last).alias("z")).where("a <> z").select("key")
-    kept = materialise(segs.join(keys, "key"), "shared-segments")
+    texts = units.select("unit", *["first", "last"] * of_units, "text")
+    keys = segments(texts, length, prefix, block, keys_only=True).groupBy("key").agg(F.min(first).alias("a"), F.max(last).alias("z")).where("a <> z").select("key")
+    kept = materialise(segments(texts, length, prefix, block).join(keys, "key"), "shared-segments")
     place = F.struct("unit", "pos")
     each = kept.groupBy(*SEGMENT).agg(F.min(first).alias("first"), F.max(last).alias("last"), F.min(place).alias("model"), F.max("n").alias("most"))
     open_ = F.col("first") == F.col("last")
-    size = F.sum(F.col("most").cast("long") + length - 1)
+    size = F.sum(F.col("most") + length - 1)
     per_key = each.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("mixed"), F.count_if(open_).alias("open"), size.alias("chars"))
     state = each.join(per_key.select("key", F.when(F.col("mixed") & (F.col("open") > 0), F.col("chars")).alias("chars")), "key").drop("most")
     placed = materialise(kept.select(*SEGMENT, "unit", "pos", "n").join(state, SEGMENT).withColumn("model", F.col("model") == place), "placed-segments")
