@@ -15,7 +15,8 @@ until it fits. At the full length a group is one node of the tree and its leaves
    shared and its segments go no further;
 2. segments that stand whole in two records are shared whole;
 3. where a key has several different segments and not all are shared, one copy of each is fetched and groups are dealt to
-   tasks. In a group the heads of all suffixes are sorted; equal neighbours in that order are the leaves of one node at
+   tasks. In a group the heads of all suffixes are sorted (but for those whose fingerprint is in one record alone: they can't
+   be shared); equal neighbours in that order are the leaves of one node at
    depth ``length``, which is shared if they come from two records. Runs of shared suffixes are the maximal repeats.
 
 Sorting compares characters. Segments are equal if their keys and two independent 64-bit fingerprints are.
@@ -88,7 +89,8 @@ def segments(units: DataFrame, length: int, prefix: int, block: int, keys_only:
     numbers alone, once for each block of texts."""
     names = units.columns[:-1]
     out = ["key", *names] if keys_only else [*SEGMENT, *names, "pos", "n"]
-    schema = pa.schema([(c, pa.int64()) for c in out])
+    kinds = {c: "int" if c in ("pos", "n") else "bigint" for c in out}
+    schema = pa.schema([(c, pa.int32() if k == "int" else pa.int64()) for c, k in kinds.items()])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, offsets, texts in text_blocks(batches, block, lambda t: cut_at_characters(t, block, length - 1)):
@@ -101,9 +103,9 @@ def segments(units: DataFrame, length: int, prefix: int, block: int, keys_only:
             else:
                 at, n, seg, seg2 = rest
                 found = [key, seg, seg2, *keys[no].T, at + offsets[no], n]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(found, schema)], schema=schema)
 
-    return units.mapInArrow(cut, ", ".join(f"{c} bigint" for c in out))
+    return units.mapInArrow(cut, ", ".join(f"{c} {k}" for c, k in kinds.items()))
 
 
 def sorted_heads(symbols: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,11 +135,21 @@ def shared_suffixes(texts: list[str], first: np.ndarray, last: np.ndarray, lengt
     at = np.arange(heads.sum()) - np.repeat(np.cumsum(heads) - heads, heads) + starts[text_no]
     if not len(at):
         return np.zeros(0, bool)
-    order, new = sorted_heads(symbols, at, length)
-    nodes = np.flatnonzero(new)
-    least, most = np.minimum.reduceat(first[text_no[order]], nodes), np.maximum.reduceat(last[text_no[order]], nodes)
-    shared = np.empty(len(order), bool)
-    shared[order] = (least != most)[np.cumsum(new) - 1]
+
+    def of_two(order: np.ndarray, new: np.ndarray, text_no: np.ndarray) -> np.ndarray:
+        nodes = np.flatnonzero(new)
+        least, most = np.minimum.reduceat(first[text_no[order]], nodes), np.maximum.reduceat(last[text_no[order]], nodes)
+        out = np.empty(len(order), bool)
+        out[order] = (least != most)[np.cumsum(new) - 1]
+        return out
+
+    # Equal heads have equal fingerprints: what has its fingerprint in one record alone needs no sorting.
+    prints = Fingerprints(symbols).of(at, at + length)
+    by_print = np.argsort(prints)
+    shared = of_two(by_print, np.diff(prints[by_print], prepend=prints[by_print[:1]] + np.uint64(1)) != 0, text_no)
+    left = np.flatnonzero(shared)
+    if len(left):
+        shared[left] = of_two(*sorted_heads(symbols, at[left], length), text_no[left])
     return shared
 
 
@@ -221,7 +233,7 @@ def _divide(units: DataFrame, length: int, prefixes: Sequence[int], block: int,
     place = F.struct("unit", "pos")
     each = kept.groupBy(*SEGMENT).agg(F.min(first).alias("first"), F.max(last).alias("last"), F.min(place).alias("model"), F.max("n").alias("most"))
     open_ = F.col("first") == F.col("last")
-    size = F.sum(F.col("most") + length - 1)
+    size = F.sum(F.col("most").cast("long") + length - 1)
     per_key = each.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("mixed"), F.count_if(open_).alias("open"), size.alias("chars"))
     state = each.join(per_key.select("key", F.when(F.col("mixed") & (F.col("open") > 0), F.col("chars")).alias("chars")), "key").drop("most")
     placed = materialise(kept.select(*SEGMENT, "unit", "pos", "n").join(state, SEGMENT).withColumn("model", F.col("model") == place), "placed-segments")
