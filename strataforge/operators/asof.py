@@ -2,25 +2,22 @@
 
 Events and versions are hashed by entity into buckets of a bounded number of rows; in each bucket DuckDB runs
 ASOF LEFT JOIN over the versions in the order they became available. A version that begins later than the event can't be
-chosen. Hot entities are cut into time slices (versions go to the slices they are in force in) and their events salted, so
-neither side of one entity must fit one task.
+chosen. Hot entities are cut into slices of time with a bounded number of rows, so neither side of one entity must fit one task.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataforge.functions.values import open_end
 from strataforge.operators.skew import key_counts
-from strataforge.operators.sliced import ROWS_PER_SLICE, neighbours, with_slices
+from strataforge.operators.sliced import ROWS_PER_SLICE, neighbours, range_slices, with_slices
 from strataforge.session import materialise
 
 #: Rows of events and versions that one bucket should hold; a bucket is read by one task.
 ROWS_PER_BUCKET = 100_000
-#: Width of the time slices of hot entities.
-SLICE_DAYS = 7
 
 _ASOF = """
 SELECT e.event_id, CASE WHEN e.at < v.valid_until THEN v.version END AS version
@@ -52,27 +49,25 @@ def _join_bucket(events: pa.Table, versions: pa.Table) -> pa.Table:
     return found.select(["event_id", "version"]).cast(pa.schema([("event_id", pa.string()), ("version", pa.int64())]))
 
 
-def _spread_hot(lookup: DataFrame, versions: DataFrame, counts: DataFrame, limit: int, slice_days: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides with slice and salt: common entities 0 and 0; hot ones' events by time and by chance, their versions copied to every
-    salt of the slices they reach into, within the span of that entity's own events."""
-    hot = counts.select("entity", F.greatest(F.lit(1), F.ceil(F.col("e") / limit)).cast("int").alias("salts"))
-    is_hot = F.col("salts").isNotNull()
+def _cut_hot(events: DataFrame, versions: DataFrame, rows: int, rows_per_slice: int) -> tuple[DataFrame, DataFrame]:
+    """Events and versions of hot entities with the slice they belong to.
 
-    def slice_of(c: Column) -> Column:
-        return F.floor(F.unix_date(c.cast("date")) / slice_days).cast("int")
-
-    salt = F.pmod(F.xxhash64("event_id"), F.col("salts"))
-    lookup = lookup.join(hot, "entity", "left").withColumns({"slice": F.when(is_hot, slice_of(F.col("at"))).otherwise(0), "salt": F.when(is_hot, salt).otherwise(0).cast("int")})
-    spans = lookup.where(is_hot).groupBy("entity").agg(F.min("slice").alias("lo"), F.max("slice").alias("hi"))
-    placed = versions.join(hot, "entity", "left").join(spans, "entity", "left")
-    lo = F.greatest(F.col("lo"), slice_of(F.col("valid_from")))
-    hi = F.least(F.col("hi"), slice_of(F.col("valid_until")))
-    slices = F.when(~is_hot, F.array(F.lit(0))).when(F.col("lo").isNotNull() & (lo <= hi), F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-    placed = placed.select("entity", "version", "valid_from", "valid_until", "salts", F.explode(slices).alias("slice"))
-    return lookup, placed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
-
-
-def asof_version(events: DataFrame, versions: DataFrame, *, rows_per_bucket: int = ROWS_PER_BUCKET, slice_days: int = SLICE_DAYS) -> DataFrame:
+    Both lie on one line in the order of time, a version before the events of its own moment; the line is cut into slices of
+    a bounded number of rows. A slice's events see its own versions and the last one before it, which is copied in.
+    """
+    ts = "timestamp_ntz"
+    begun = versions.select("entity", F.col("valid_from").alias("at"), F.lit(None).cast("string").alias("event_id"), F.struct("version", "valid_from", "valid_until").alias("v"))
+    happened = events.select("entity", "at", "event_id", F.lit(None).cast(dict(begun.dtypes)["v"]).alias("v"))
+    line = begun.withColumn("side", F.lit(0)).unionByName(happened.withColumn("side", F.lit(1)))
+    line = range_slices(line, ["entity", "at", "side", "event_id"], rows, rows_per_slice, "time-line")
+    per_slice = line.groupBy("entity", "slice").agg(F.max_by("v", F.when(F.col("side") == 0, F.col("at").cast(ts))).alias("last"))
+    before = F.last("last", ignorenulls=True).over(Window.partitionBy("entity").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
+    carried = per_slice.select("entity", "slice", before.alias("v")).where("v is not null")
+    seen = line.where("side = 0").select("entity", "slice", "v").unionByName(carried)
+    return line.where("side = 1").select("event_id", "entity", "at", "slice"), seen.select("entity", "slice", "v.*")
+
+
+def asof_version(events: DataFrame, versions: DataFrame, *, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """event_id, version (null: none in force) for every event.
 
     ``events``: event_id string, entity string, at timestamp; ``versions``: entity string, version long, valid_from,
@@ -87,14 +82,21 @@ def asof_version(events: DataFrame, versions: DataFrame, *, rows_per_bucket: int
     sides = key_counts(events, "entity").select("entity", F.col("n").alias("e"), F.lit(0).alias("v")).unionByName(key_counts(versions, "entity").select("entity", F.lit(0).alias("e"), F.col("n").alias("v")))
     counts = sides.groupBy("entity").agg(F.sum("e").alias("e"), F.sum("v").alias("v"))
     limit = max(1, rows_per_bucket // 2)
-    total = counts.agg(F.sum(F.col("e") + F.col("v")).alias("rows"), F.max(F.greatest("e", "v")).alias("most")).first()
+    total = counts.agg(F.sum(F.col("e") + F.col("v")).alias("rows"), F.max(F.col("e") + F.col("v")).alias("most")).first()
     buckets = max(int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(total.rows or 0) // rows_per_bucket))
     lookup = events.where("entity is not null and at is not null")
     if (total.most or 0) <= limit:
-        lookup, placed = (d.withColumns({"slice": F.lit(0), "salt": F.lit(0)}) for d in (lookup, versions))
+        lookup, placed = (d.withColumn("slice", F.lit(0)) for d in (lookup, versions))
     else:
-        lookup, placed = _spread_hot(lookup, versions, counts.where((F.col("e") > limit) | (F.col("v") > limit)), limit, slice_days)
-    bucket = F.pmod(F.xxhash64("entity", "slice", "salt"), F.lit(buckets)).cast("int").alias("bucket")
+        hot = materialise(counts.where(F.col("e") + F.col("v") > limit), "hot-entities")
+        rows = hot.agg(F.sum(F.col("e") + F.col("v"))).first()[0]
+        # Hot entities are few: at most rows / limit; Spark chooses how to join by their size.
+        keys = hot.select(F.col("entity").alias("_hot"))
+        on = F.col("entity") == F.col("_hot")
+        hot_events, hot_versions = _cut_hot(lookup.join(keys, on, "left_semi"), versions.join(keys, on, "left_semi"), rows, limit)
+        lookup = lookup.join(keys, on, "left_anti").withColumn("slice", F.lit(0)).unionByName(hot_events)
+        placed = versions.join(keys, on, "left_anti").withColumn("slice", F.lit(0)).unionByName(hot_versions)
+    bucket = F.pmod(F.xxhash64("entity", "slice"), F.lit(buckets)).cast("int").alias("bucket")
     left = lookup.select(bucket, "event_id", "entity", "at", "slice").groupBy("bucket")
     right = placed.select(bucket, "entity", "version", "valid_from", "valid_until", "slice").groupBy("bucket")
     joined = left.cogroup(right).applyInArrow(_join_bucket, "event_id string, version bigint")

@@ -55,9 +55,10 @@ def score(df: DataFrame, *, amount: str, distance: str, mismatch: Column, amount
     return flags.withColumns({"fuel_anomaly_score": F.least(F.lit(100), total).cast("int"), "anomaly_reason_codes": codes, "feature_version": F.lit(VERSION)})
 
 
-def fuel_anomaly_score(transactions: DataFrame, usage: DataFrame, cards: DataFrame, vehicles: DataFrame, clients: DataFrame, batch_date: str | None = None) -> DataFrame:
-    """The feature table: every transaction once, up to batch_date if given, with current dimensions, flags and score.
+def fuel_anomaly_score(transactions: DataFrame, usage: DataFrame, cards: DataFrame, vehicles: DataFrame, clients: DataFrame, batch_date: str | None = None, scored_at: str | None = None) -> DataFrame:
+    """The feature table, 25 columns: every transaction once, up to batch_date if given, with current dimensions, flags and score.
 
+    ``scored_at`` is when the run scores them, given so that it can be repeated; without it the time the query begins.
     Dimensions are cut to their current rows and one row a key before joining; transactions whose keys are null or unknown
     keep null dimension columns. Usage is summed to vehicle and day first.
     """
@@ -80,9 +81,10 @@ def fuel_anomaly_score(transactions: DataFrame, usage: DataFrame, cards: DataFra
     )
     mismatch = (F.col("_card_vehicle").isNotNull() & (F.col("_card_vehicle") != F.col("vehicle_id"))) | (F.col("_card_client").isNotNull() & (F.col("_card_client") != F.col("client_id")))
     scored = score(card_windows(joined, "fuel_card_id", "transaction_datetime", "gross_amount", counted=transactions), amount="gross_amount", distance="distance_km", mismatch=mismatch)
+    scored = scored.withColumn("scored_at", F.lit(scored_at).cast("timestamp_ntz") if scored_at else F.localtimestamp())
     dated = scored.withColumn("batch_date", F.lit(batch_date).cast("date") if batch_date else F.col("transaction_date"))
     return dated.select(
         "fuel_transaction_id", "fuel_card_id", "vehicle_id", "vehicle_sk", "client_id", "client_sk", "transaction_datetime", "transaction_date", "merchant_state", "fuel_product",
         "litres", "gross_amount", "distance_km", "fuel_cost_per_km", "transaction_frequency_7d", "multiple_fill_flag", "no_usage_match_flag", "high_value_transaction_flag",
-        "fuel_card_vehicle_mismatch_flag", "fuel_anomaly_score", "anomaly_reason_codes", "feature_version", "batch_date", "source_record_hash",
+        "fuel_card_vehicle_mismatch_flag", "fuel_anomaly_score", "anomaly_reason_codes", "feature_version", "scored_at", "batch_date", "source_record_hash",
     )

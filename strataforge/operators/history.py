@@ -65,7 +65,8 @@ def single_versions(versions: DataFrame, attrs: Sequence[str], rows_per_slice: i
     """Versions with an entity and a begin, each version_id once, with their slice; and whether an entity had to be cut."""
     row = F.max(F.struct("entity", "valid_from", "valid_until", *attrs)).alias("r")
     single = versions.where("entity is not null and valid_from is not null").groupBy("version_id").agg(row).select("version_id", "r.*")
-    return with_slices(single, "entity", "valid_from", rows_per_slice)
+    # Read to count entities and to put them in order.
+    return with_slices(materialise(single, "single-versions"), "entity", ["valid_from", "version_id"], rows_per_slice)
 
 
 def merged_versions(single: DataFrame, attrs: Sequence[str], hash_col: str, cut: bool) -> DataFrame:
@@ -112,9 +113,8 @@ def snapshot_events(base: DataFrame, snapshots: DataFrame, calendar: DataFrame,
         F.max(F.greatest("valid_from", F.when(F.col("valid_until") != open_end(), F.col("valid_until")))).alias("latest"),
         F.max(F.when(F.col("slice") >= 0, F.lit(AFTER_ALL))).alias("slice"),
     )
-    days = F.broadcast(calendar)
     element = F.struct("at", "next_at", "rec")
-    steps = snapshots.join(days, "at").groupBy("entity").agg(F.sort_array(F.collect_list(F.struct(F.col("at"), element.alias("e")))).alias("steps"))
+    steps = snapshots.join(calendar, "at").groupBy("entity").agg(F.sort_array(F.collect_list(F.struct(F.col("at"), element.alias("e")))).alias("steps"))
     both = state.join(steps, "entity", "full_outer").withColumn("first_at", calendar.agg(F.min("at")).scalar())
     rec_type = dict(snapshots.dtypes)["rec"]
     event_type = f"array<struct<at:{ts},is_end:boolean,rec:{rec_type}>>"
@@ -161,8 +161,9 @@ def entity_history(versions: DataFrame, snapshots: DataFrame, calendar: DataFram
     values. Empty tables: no versions give the snapshots' history, no snapshots leave the versions as they are.
     """
     single, cut = single_versions(versions, attrs, rows_per_slice)
-    base = merged_versions(single, attrs, hash_col, cut)
-    base = materialise(base, "versions") if cut else base
+    # The periods are read for their own events and for the state the snapshots find; the calendar for its first day and its steps.
+    base = materialise(merged_versions(single, attrs, hash_col, cut), "periods")
+    calendar = materialise(calendar, "calendar")
     events = _version_events(base, attrs).unionByName(snapshot_events(base, snapshots, calendar, attrs, hash_col))
     store = materialise(delta_store(events, attrs, every, cut), "history")
     return reconstruct(store, attrs, cut)

@@ -15,9 +15,9 @@ def require_columns(df: DataFrame, columns: list[str], label: str) -> None:
     """Raises if columns are missing or there is no row."""
     missing = sorted(set(columns) - set(df.columns))
     if missing:
-        raise ValueError(f"{label} missing required columns: {missing}")
+        raise ValueError(f"The {label} lacks the columns {missing}")
     if df.isEmpty():
-        raise ValueError(f"{label} input is empty")
+        raise ValueError(f"The {label} has no rows")
 
 
 def clean_percentage(value: Column) -> Column:
@@ -57,7 +57,7 @@ def population_by_age(population: DataFrame, countries: DataFrame, position: lis
     if strict:
         bad = long.where(bad_percentage(F.col("raw"))).limit(1).collect()
         if bad:
-            raise ValueError(f"Invalid percentage value: {bad[0]['raw']}")
+            raise ValueError(f"{bad[0]['raw']!r} is no percentage")
     order = [c for c in position if c in countries.columns] or COUNTRY
     lookup = countries.groupBy(F.upper("country_code_2_digit").alias("_code")).agg(F.max_by(F.struct(*COUNTRY), F.struct(*order)).alias("_c")).select("_code", "_c.*")
     known = long.where(F.col("age_group").isin(*AGE_GROUPS)).join(lookup.select("_code"), F.col("country_code") == F.col("_code"), "left_semi")

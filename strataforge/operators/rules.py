@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataforge.operators.conform import scd1_merge, scd2_merge
@@ -23,7 +23,20 @@ def _options(rule: Rule) -> Mapping[str, Any]:
 
 
 def _list(text: str) -> list[str]:
-    return [part.strip() for part in text.split(",") if part.strip()]
+    """The parts of a list at its top-level commas: those in brackets or quotes part nothing."""
+    parts, depth, quote = [""], 0, ""
+    for c in text:
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "'\"`":
+            quote = c
+        else:
+            depth += (c in "([{") - (c in ")]}")
+            if c == "," and not depth:
+                parts.append("")
+                continue
+        parts[-1] += c
+    return [p.strip() for p in parts if p.strip()]
 
 
 def select(df: DataFrame, rule: Rule, tables: Tables) -> DataFrame:
@@ -80,9 +93,9 @@ def aggregate(df: DataFrame, rule: Rule, tables: Tables) -> DataFrame:
 
 
 def deduplicate(df: DataFrame, rule: Rule, tables: Tables) -> DataFrame:
-    """The first row of each key by the order in ``rule_expression``."""
-    w = Window.partitionBy(*_list(rule["source_column"])).orderBy(*[F.expr(e.removesuffix(" desc")).desc() if e.endswith(" desc") else F.expr(e) for e in _list(rule["rule_expression"])])
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """The first row of each key by the order in ``rule_expression``, which is SQL's: any case, directions, nulls first or last."""
+    place = F.expr(f"row_number() over (partition by {rule['source_column']} order by {rule['rule_expression']})")
+    return df.withColumn("_n", place).where("_n = 1").drop("_n")
 
 
 def custom_sql(df: DataFrame, rule: Rule, tables: Tables) -> DataFrame:

@@ -1,13 +1,16 @@
 """Looking at a key's earlier and later rows when one key may hold a large part of all rows.
 
-Keys with more rows than a task should sort are cut into slices of time. Windows run inside slices; what lies beyond a
-slice's edge comes from one row a slice (its first and last row, its size), which an outer window puts in order. Common keys
-are one slice, numbered -1, and have no edges. Where counting finds no key to cut, all this is left away and the windows are
-plain ones; the rows that come out are the same.
+Keys with more rows than a task should sort are cut into slices of about that many rows, by ranges of the whole order that the
+windows have, so that a burst of rows of one moment is cut as well. Windows run inside slices; what lies beyond a slice's edge
+comes from one row a slice (its first and last row, its size), which an outer window puts in order. Common keys are one
+slice, numbered -1, and have no edges. Where counting finds no key to cut, all this is left away and the windows are plain
+ones; the rows that come out are the same.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,16 +20,26 @@ from strataforge.session import materialise
 ROWS_PER_SLICE = 1_000_000
 
 
-def with_slices(df: DataFrame, key: str, at: str, rows_per_slice: int = ROWS_PER_SLICE) -> tuple[DataFrame, bool]:
-    """df with a column slice that never falls as ``at`` (nulls first) grows, -1 for keys that need no cutting; and whether any does."""
-    hour = F.unix_date(F.col(at).cast("date")).cast("long") * 24 + F.hour(at)
-    span = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"), F.min(hour).alias("_lo"), F.max(hour).alias("_hi")).where(F.col("_n") > rows_per_slice)
-    if span.isEmpty():
+def range_slices(df: DataFrame, order: Sequence[str], rows: int, rows_per_slice: int, name: str) -> DataFrame:
+    """df with a column slice that never falls along the order; each slice has about rows_per_slice of the rows.
+
+    Written once to the shared folder, as a second division could differ. How even the slices are rests on Spark's sample of the
+    order; what they hold doesn't. Rows equal in the whole order are one slice's.
+    """
+    slices = max(1, -(-rows // rows_per_slice))
+    return materialise(df.repartitionByRange(slices, *order).withColumn("slice", F.spark_partition_id()), name)
+
+
+def with_slices(df: DataFrame, key: str, order: str | Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> tuple[DataFrame, bool]:
+    """df with a column slice that never falls along a key's order (nulls first), -1 for keys that need no cutting; and whether any does."""
+    order = [order] if isinstance(order, str) else list(order)
+    hot = df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_slice)
+    total = hot.agg(F.sum("_n")).first()[0]
+    if not total:
         return df.withColumn("slice", F.lit(-1)), False
-    width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / F.lit(rows_per_slice))))
-    hot = span.select("_hot", "_lo", width.alias("_width"))
-    number = F.when(F.col("_hot").isNull(), -1).otherwise(F.coalesce(F.floor((hour - F.col("_lo")) / F.col("_width")) + 1, F.lit(0))).cast("int")
-    return df.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("slice", number).drop("_hot", "_lo", "_width"), True
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
+    large = range_slices(df.join(hot.select("_hot"), is_hot, "left_semi"), [key, *order], total, rows_per_slice, "slices")
+    return df.join(hot.select("_hot"), is_hot, "left_anti").withColumn("slice", F.lit(-1)).unionByName(large), True
 
 
 def _windows(key: str, order: list[str], cut: bool):
@@ -39,7 +52,7 @@ def _edges(df: DataFrame, key: str, **aggs: Column) -> DataFrame:
 
 
 def _beside(df: DataFrame, edges: DataFrame, key: str) -> DataFrame:
-    return df.join(edges, (F.col(key) == F.col("_key")) & (F.col("slice") == F.col("_slice")), "left").drop("_key", "_slice")
+    return df.join(edges, F.col(key).eqNullSafe(F.col("_key")) & (F.col("slice") == F.col("_slice")), "left").drop("_key", "_slice")
 
 
 def neighbours(df: DataFrame, key: str, order: list[str], cut: bool, *, after: str | None = None, before: str | None = None, columns: list[str]) -> DataFrame:

@@ -30,8 +30,8 @@ def snapshot_records(rows: DataFrame, *, key: Column, batch: str, is_record: Col
     best = F.max(F.when(is_record, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], record_hash.alias("h"))))
     calendar = snapshot_calendar(rows, batch)
     per_snapshot = rows.where(key.isNotNull() & F.col(batch).isNotNull()).groupBy(key.alias("key"), F.col(batch)).agg(best.alias("best"))
-    # A row for each day there is a snapshot: far below any limit for broadcasting.
-    numbered = per_snapshot.join(F.broadcast(calendar), batch).select("key", "n", "best")
+    # The calendar has a row for each day there is a snapshot; Spark joins it by its size.
+    numbered = per_snapshot.join(calendar, batch).select("key", "n", "best")
     # A run is a stretch of consecutive snapshots in which the key has rows; records carry forward only inside it.
     per_key = Window.partitionBy("key").orderBy("n")
     runs = numbered.withColumn("run", F.col("n") - F.row_number().over(per_key))
@@ -56,4 +56,4 @@ def diff_snapshots(records: DataFrame, calendar: DataFrame, batch: str) -> DataF
         .when(~F.col("new.record_hash").eqNullSafe(F.col("old.record_hash")), "changed")
     )
     days = calendar.where("n > 1").select("n", batch)
-    return pair.select("key", "n", kind.alias("change_kind")).where("change_kind is not null").join(F.broadcast(days), "n").select(batch, "key", "change_kind")
+    return pair.select("key", "n", kind.alias("change_kind")).where("change_kind is not null").join(days, "n").select(batch, "key", "change_kind")

@@ -24,6 +24,8 @@ class DatasetContract:
     primary_key: str
     expected_columns: list[str] = field(default_factory=list)
     source_record_pattern: str = MUTABLE
+    #: Whether quoted values may hold line breaks; files without can be read in splits.
+    multiline: bool = True
 
     @property
     def is_mutable(self) -> bool:
@@ -137,19 +139,43 @@ def rejects(staged: DataFrame) -> DataFrame:
     return staged.where("_latest_resolution_status = 'ambiguous_same_timestamp'")
 
 
-def eligible(staged: DataFrame, parents: Sequence[tuple[str, DataFrame, str]] = ()) -> DataFrame:
-    """Rows that may be merged: latest, resolved, no duplicate, quality passed (null counts as passed), and every foreign key in
-    ``parents`` (child column, parent table, parent column) found among the parent's current rows."""
-    ok = staged.where(
-        F.coalesce("_is_latest_for_business_key", F.lit(False)) & (F.col("_latest_resolution_status") == "resolved")
+def may_be_merged() -> Column:
+    """Latest, resolved, no duplicate, quality passed (null counts as passed); never null."""
+    return (
+        F.coalesce("_is_latest_for_business_key", F.lit(False)) & F.coalesce(F.col("_latest_resolution_status") == "resolved", F.lit(False))
         & ~F.coalesce("_is_exact_duplicate", F.lit(False)) & (F.coalesce("_dq_status", F.lit("passed")) == "passed")
     )
-    for child, parent, key in parents:
+
+
+def eligible(staged: DataFrame, parents: Sequence[tuple] = ()) -> DataFrame:
+    """Rows that may be merged, and of them those every foreign key of which is found among the parent's current rows.
+
+    ``parents``: (child column, parent table, parent column), and more for lookups (see with_parents), which add nothing here.
+    """
+    ok = staged.where(may_be_merged())
+    for child, parent, key, *_ in parents:
         current = parent.where("is_current").select(F.col(key).alias("_parent_key"))
         ok = ok.join(current, F.col(child) == F.col("_parent_key"), "left_semi")
     return ok
 
 
+def with_parents(staged: DataFrame, parents: Sequence[tuple]) -> DataFrame:
+    """staged with _parents (whether every parent has a current row) and _parent_keys, a struct of the parents' surrogate keys.
+
+    ``parents``: (child column, parent table, parent column) for a gate, with (surrogate key, target column) after it for a
+    lookup. A parent with several current rows gives its highest surrogate key and doesn't multiply the child; a null foreign
+    key has no parent.
+    """
+    out, found, keys = staged, F.lit(True), []
+    for i, (child, parent, key, *lookup) in enumerate(parents):
+        value = F.max(lookup[0]) if lookup else F.max(F.lit(1))
+        current = parent.where("is_current").groupBy(F.col(key).alias(f"_p{i}")).agg(value.alias(f"_v{i}"))
+        out = out.join(current, F.col(child) == F.col(f"_p{i}"), "left")
+        found = found & F.col(f"_p{i}").isNotNull()
+        keys += [F.col(f"_v{i}").alias(lookup[1])] if lookup else []
+    return out.withColumns({"_parents": found, "_parent_keys": F.struct(*keys) if keys else F.struct(F.lit(None).alias("_"))}).drop(*[f"_{c}{i}" for c in "pv" for i in range(len(parents))])
+
+
 def stage_counts(staged: DataFrame) -> DataFrame:
     """Rows, exact duplicates, ambiguous rows and the batch's status, in one pass."""
     return staged.agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
@@ -13,12 +14,16 @@ from strataforge.operators import conform
 from strataforge.operators.quality import certify, enforce, mask_pii
 from strataforge.operators.reshape import population_by_age
 from strataforge.operators.staging import DatasetContract, stage_counts, stage_rows
-from strataforge.session import materialise
+from strataforge.session import materialise, scratch_tables
 from strataforge.sinks.writers import AuditLog, VersionedTable, write_rejects, write_staging, write_target
 from strataforge.sources import delimited
 from strataforge.sources.metadata import Catalog, load_contract, load_dataset_contracts, validate_metadata
 
-SYSTEM = "source_system"
+
+def new_run_id(now: str, prefix: str = "RUN") -> str:
+    """A run's id where none is given: when it began, and eight characters that tell runs of one second apart."""
+    digits = "".join(c for c in now if c.isdigit()).ljust(14, "0")
+    return f"{prefix}_{digits[:8]}_{digits[8:14]}_{uuid.uuid4().hex[:8]}"
 
 
 def stage_dataset(
@@ -31,21 +36,22 @@ def stage_dataset(
     """
     files = delimited.source_files(spark, root, contract.table_name, load_type, source_date)
     if not files:
-        raise FileNotFoundError(f"No source CSV found for {contract.table_name} in {root}")
+        raise FileNotFoundError(f"{root} has no file of {contract.table_name}")
     io = delimited.Files(spark)
     extract = source_date or "root"
     raw = [io.copy(p, delimited.archive_path(output, source_system_id, contract.table_name, extract, ingest_timestamp, run_id, p.rsplit("/", 1)[1])) for p in files]
     rows = delimited.read_source(spark, files, contract, load_type)
-    staged = materialise(
-        stage_rows(rows, contract, source_system_id=source_system_id, run_id=run_id, batch_date=batch_date, load_type=load_type, source_date=source_date or "", ingest_timestamp=ingest_timestamp),
-        "staged",
-    )
-    counts = stage_counts(staged).first().asDict()
-    if expected is not None and counts["staging_record_count"] != expected:
-        raise ValueError(f"Manifest row count mismatch for {contract.table_name}: expected {expected}, got {counts['staging_record_count']}")
-    stem = contract.table_name.rsplit(".", 1)[0]
-    staging_path = write_staging(staged, f"{output}/staging/domain=fleet_management/dataset={stem}")
-    rejected = write_rejects(staged, f"{output}/staging_rejects/domain=fleet_management/dataset={stem}/run_id={run_id}")
+    with scratch_tables():
+        staged = materialise(
+            stage_rows(rows, contract, source_system_id=source_system_id, run_id=run_id, batch_date=batch_date, load_type=load_type, source_date=source_date or "", ingest_timestamp=ingest_timestamp),
+            "staged",
+        )
+        counts = stage_counts(staged).first().asDict()
+        if expected is not None and counts["staging_record_count"] != expected:
+            raise ValueError(f"The manifest announces {expected} rows of {contract.table_name}, its files hold {counts['staging_record_count']}")
+        stem = contract.table_name.rsplit(".", 1)[0]
+        staging_path = write_staging(staged, f"{output}/staging/domain=fleet_management/dataset={stem}")
+        rejected = write_rejects(staged, f"{output}/staging_rejects/domain=fleet_management/dataset={stem}/run_id={run_id}")
     return {
         "dataset_id": contract.dataset_id, "table_name": contract.table_name, "source_record_pattern": contract.source_record_pattern, "load_type": load_type, "source_date": source_date or "",
         "source_file_count": len(files), "source_record_count": counts["staging_record_count"], **counts, "raw_paths": raw, "staging_path": staging_path, "rejected_path": rejected or "",
@@ -82,7 +88,7 @@ def run_staging(
         try:
             done = stage_dataset(spark, root, output, contract, run_id=run_id, batch_date=batch_date, source_system_id=config["source_system_id"], load_type=load_type, source_date=source_date, ingest_timestamp=now, expected=counts.get(contract.table_name))
         except Exception as e:  # whatever goes wrong with one dataset belongs in its audit row
-            done = {"dataset_id": contract.dataset_id, "table_name": contract.table_name, "status": "FAILED", "error_message": str(e)[:2000], "source_record_count": 0, "staging_record_count": 0}
+            done = {"dataset_id": contract.dataset_id, "table_name": contract.table_name, "status": "FAILED", "error_message": str(e), "source_record_count": 0, "staging_record_count": 0}
         return audit.log({**base, **done}, now)
 
     with ThreadPoolExecutor(max(1, parallel)) as pool:
@@ -106,13 +112,13 @@ def run_ingestion(spark: SparkSession, catalog: Catalog, root: str, audit_path:
             found = validate_landing(spark, landed, target.get("target_delimiter", source.get("source_delimiter", "tab")), n)
             events.append(audit.log({**base, **found, "status": "SUCCESS", "warning_count": len(found["warnings"])}, now))
         except Exception as e:
-            events.append(audit.log({**base, "status": "FAILED", "error_message": str(e)[:2000]}, now))
+            events.append(audit.log({**base, "status": "FAILED", "error_message": str(e)}, now))
     return events
 
 
 def validate_landing(spark: SparkSession, path: str, delimiter: str = "tab", source_count: int | None = None) -> dict[str, Any]:
     n = delimited.count_rows(spark, path, delimiter)
-    warnings = ["target row count is zero"] * (n == 0) + ["source and target row counts do not match"] * (source_count is not None and source_count != n)
+    warnings = ["nothing landed"] * (n == 0) + [f"{source_count} rows at the source, {n} landed"] * (source_count is not None and source_count != n)
     return {"validation_status": "PASSED_WITH_WARNINGS" if warnings else "PASSED", "source_record_count": source_count, "target_record_count": n, "warnings": warnings}
 
 
@@ -122,23 +128,33 @@ TRANSFORMS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 }
 
 
-def run_transform(spark: SparkSession, contract_path: str, root: str, audit_path: str, *, dataset_id: str, run_id: str, now: str, transforms: Mapping[str, Callable[[DataFrame, DataFrame], DataFrame]] = TRANSFORMS) -> dict[str, Any]:
-    """Reads a contract's input and lookup, transforms, checks the output's columns, writes and audits."""
+def run_transform(
+    spark: SparkSession, contract_path: str, root: str, audit_path: str, *, dataset_id: str, now: str, run_id: str | None = None, environment: str = "dev", batch_date: str | None = None,
+    transforms: Mapping[str, Callable[[DataFrame, DataFrame], DataFrame]] = TRANSFORMS,
+) -> dict[str, Any]:
+    """Reads a contract's input and lookup, transforms, checks the output's columns, writes and audits.
+
+    The output is written once and counted from what was written."""
     contract = load_contract(spark, contract_path)
     if contract["dataset_id"] != dataset_id:
         raise ValueError(f"Contract is for {contract['dataset_id']}, not {dataset_id}")
     if dataset_id not in transforms:
         raise ValueError(f"No transform registered for {dataset_id}")
     read = lambda part: delimited.read_delimited(spark, f"{root}/{part['path'].lstrip('/')}", part.get("delimiter", "comma"))
-    audit, base = AuditLog(spark, audit_path), {"run_id": run_id, "dataset_id": dataset_id, "pipeline_name": "transform", "started_at": now, "completed_at": now}
+    audit = AuditLog(spark, audit_path)
+    base = {
+        "run_id": run_id or new_run_id(now), "dataset_id": dataset_id, "pipeline_name": "transform", "activity_name": "TransformAndWrite", "environment": environment, "batch_date": batch_date,
+        "contract_version": contract.get("contract_version"), "started_at": now, "completed_at": now,
+    }
     try:
-        source = read(contract["inputs"][0])
-        out = transforms[dataset_id](source, read(contract["lookups"][0]))
-        check_output(out, contract["expected_columns"])
-        path = write_target(out, contract["target"], root)
-        return audit.log({**base, "status": "SUCCESS", "source_record_count": source.count(), "target_record_count": out.count(), "target_path": path}, now)
+        with scratch_tables():
+            source = read(contract["inputs"][0])
+            out = materialise(transforms[dataset_id](source, read(contract["lookups"][0])), "transformed")
+            check_output(out, contract["expected_columns"])
+            path = write_target(out, contract["target"], root)
+            return audit.log({**base, "status": "SUCCESS", "input_record_count": source.count(), "output_record_count": out.count(), "target_path": path}, now)
     except Exception as e:
-        return audit.log({**base, "status": "FAILED", "error_message": str(e)[:2000]}, now)
+        return audit.log({**base, "status": "FAILED", "input_record_count": 0, "output_record_count": 0, "error_message": str(e)}, now)
 
 
 def check_output(df: DataFrame, expected: Sequence[str]) -> None:
@@ -156,45 +172,53 @@ def run_governance(df: DataFrame, rules: Sequence[Mapping[str, Any]], masks: Map
     return {**out, "certification": certify(checks)} if checks is not None else out
 
 
+#: The columns a merge fills beside the business ones, by write strategy, with their types; KEY is the merge key's type.
+STANDARD = {
+    "scd2": {
+        "business_key": "KEY", "effective_from": "timestamp_ntz", "effective_to": "timestamp_ntz", "is_current": "boolean", "deleted_flag": "boolean", "source_system_id": "string", "source_dataset_id": "string",
+        "source_effective_at": "timestamp_ntz", "source_updated_at": "timestamp_ntz", "source_record_hash": "string", "created_run_id": "string", "updated_run_id": "string", "created_at": "timestamp_ntz", "updated_at": "timestamp_ntz",
+    },
+    "append": {"event_business_key": "KEY", "source_system_id": "string", "source_dataset_id": "string", "batch_date": "string", "source_record_hash": "string", "created_run_id": "string", "created_at": "timestamp_ntz"},
+    "history": {"event_business_key": "KEY", "source_updated_at": "string", "source_record_hash": "string", "delta_action": "string"},
+}
+
+
+def _empty_target(batch: DataFrame, strategy: str, c: Mapping[str, Any]) -> DataFrame:
+    """A strategy's table before its first batch."""
+    if strategy == "summary":
+        return conform.daily_summary(batch.limit(0), batch_date="", keys=list(c["keys"]), event_time=c["event_time"])
+    types = dict(batch.dtypes)
+    more = {n: types[c["merge_key"]] if kind == "KEY" else kind for n, kind in STANDARD.get(strategy, {}).items()}
+    if strategy == "scd2":
+        looked_up = {p[4]: dict(p[1].dtypes)[p[3]] for p in c.get("parents", ()) if len(p) > 3}
+        more = {c["surrogate_key"]: "bigint", **looked_up, **more}
+    own = [n for n in dict.fromkeys([c["merge_key"], *c.get("attributes", []), *([c["watermark_column"]] if strategy == "incremental" else [])]) if n not in more]
+    return batch.limit(0).select(*own).selectExpr("*", *[f"cast(null as {kind}) as {n}" for n, kind in more.items()])
+
+
 def run_conform(
     spark: SparkSession, config: Mapping[str, Mapping[str, Any]], staged: Mapping[str, DataFrame], output: str, audit_path: str, *, run_id: str, batch_id: str, batch_timestamp: str
 ) -> list[dict[str, Any]]:
-    """Merges staged batches into their targets as configured, parents before children; each target is swapped whole.
+    """Merges staged batches into their targets as configured, parents before children; a target's version changes in one step.
 
-    ``config``: by source table: target_table, pattern (scd2, append, history, current_and_history, summary), merge_key,
-    attributes, surrogate_key, missing_record_action, parents {child column: (source table, key)}, event_time and keys. A
-    batch id that a target already has is skipped, so a run can be repeated after a failure.
+    ``config``: by source table: target_table, pattern (one of conform.STRATEGIES, or current_and_history), merge_key,
+    attributes, surrogate_key, missing_record_action, watermark_column, event_time and keys, and parents {child column:
+    (source table, key)}, with (parent's surrogate key, column it fills) after the key where it is to be looked up. A batch
+    id that a target already has is skipped, so a run can be repeated after a failure.
     """
     audit, tables, events = AuditLog(spark, audit_path), {}, []
 
     def ready(name: str) -> bool:
-        return all(parent in tables or parent not in config for parent, _ in config[name].get("parents", {}).values())
-
-    def empty(batch: DataFrame, columns: Sequence[str], extra: str) -> DataFrame:
-        return batch.limit(0).select(*columns).selectExpr("*", *[f"cast(null as {kind}) as {n}" for n, kind in (x.split(":") for x in extra.split())])
-
-    dim_columns = "effective_from:timestamp_ntz effective_to:timestamp_ntz is_current:boolean deleted_flag:boolean source_record_hash:string updated_run_id:string"
-
-    def merge(c: Mapping[str, Any], pattern: str, key: str, batch: DataFrame, table: VersionedTable) -> DataFrame:
-        attributes = list(c.get("attributes", []))
-        kind = dict(batch.dtypes)[key]
-        if pattern == "scd2":
-            sk = c.get("surrogate_key", "sk")
-            current = table.read() if table.exists() else empty(batch, [key, *attributes], f"{sk}:bigint {dim_columns}")
-            parents = [(child, tables[p].read(), k) for child, (p, k) in c.get("parents", {}).items()]
-            return conform.scd2_merge(current, batch, business_key=key, surrogate_key=sk, attributes=attributes, run_id=run_id, batch_timestamp=batch_timestamp, missing=c.get("missing_record_action", "soft_delete"), parents=parents)
-        if pattern == "append":
-            current = table.read() if table.exists() else empty(batch, [key, *attributes], f"event_business_key:{kind} source_record_hash:string batch_date:string")
-            return conform.append_only_merge(current, batch, event_key=key, columns=[key, *attributes], run_id=run_id)
-        if pattern == "history":
-            current = table.read() if table.exists() else empty(batch, [key, *attributes], f"event_business_key:{kind} source_updated_at:string source_record_hash:string delta_action:string")
-            return conform.version_history_merge(current, batch, business_key=key, columns=[key, *attributes])
-        if pattern == "summary":
-            by, at = list(c["keys"]), c["event_time"]
-            day = str(batch.agg(F.max("_batch_date")).first()[0])
-            current = table.read() if table.exists() else conform.daily_summary(batch.limit(0), batch_date=day, keys=by, event_time=at)
-            return conform.rebuild_summary(current, batch, batch_date=day, keys=by, event_time=at)
-        raise ValueError(f"Unknown pattern: {pattern}")
+        return all(p[0] in tables or p[0] not in config for p in config[name].get("parents", {}).values())
+
+    def merge(c: Mapping[str, Any], strategy: str, batch: DataFrame, target: VersionedTable) -> None:
+        if strategy not in conform.STRATEGIES:
+            raise ValueError(f"Unknown pattern: {strategy}")
+        parents = [(child, tables[p].read(conform.CURRENT), *rest) for child, (p, *rest) in c.get("parents", {}).items()]
+        full = {"surrogate_key": "sk", "attributes": [], **c, "parents": parents, "run_id": run_id, "batch_timestamp": batch_timestamp}
+        now = target.read if target.exists() else lambda *_: _empty_target(batch, strategy, full)
+        with scratch_tables():
+            target.apply(conform.STRATEGIES[strategy](now, batch, full), batch_id)
 
     waiting = [n for n in config if n in staged]
     while waiting:
@@ -204,15 +228,15 @@ def run_conform(
         waiting.remove(name)
         c = config[name]
         both = {"current_and_history": ("scd2", "history")}.get(c["pattern"], (c["pattern"],))
-        base = {"run_id": run_id, "dataset_id": name, "pipeline_name": "conform", "completed_at": batch_timestamp}
+        base = {"run_id": run_id, "dataset_id": name, "pipeline_name": "conform", "activity_name": "MergeToConformed", "completed_at": batch_timestamp}
         try:
-            for pattern in both:
-                target = VersionedTable(spark, f"{output}/{c['target_table']}{'_HIST' if pattern == 'history' and len(both) > 1 else ''}")
+            for strategy in both:
+                target = VersionedTable(spark, f"{output}/{c['target_table']}{'_HIST' if strategy == 'history' and len(both) > 1 else ''}")
                 if not target.has_batch(batch_id):
-                    target.replace(merge(c, pattern, c["merge_key"], staged[name], target), batch_id)
+                    merge(c, strategy, staged[name], target)
                 tables.setdefault(name, target)
             events.append(audit.log({**base, "status": "SUCCESS", "target_record_count": tables[name].read().count()}, batch_timestamp))
         except Exception as e:
             tables.setdefault(name, VersionedTable(spark, f"{output}/{c['target_table']}"))
-            events.append(audit.log({**base, "status": "FAILED", "error_message": str(e)[:2000]}, batch_timestamp))
+            events.append(audit.log({**base, "status": "FAILED", "error_message": str(e)}, batch_timestamp))
     return events

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,14 +45,32 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+_local = threading.local()
+
+
+@contextmanager
+def scratch_tables() -> Iterator[None]:
+    """Tables this thread materialises inside are deleted at the end, for runs that write their result inside."""
+    scopes = _local.__dict__.setdefault("scopes", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for files, folder in scopes.pop():
+            files.delete(folder, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there and a lost executor costs nothing.
 
-    The table is deleted when the driver's JVM ends.
+    The table is deleted at the end of the scratch_tables it is made in, else when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.deleteOnExit(folder)
+    if getattr(_local, "scopes", None):
+        _local.scopes[-1].append((files, folder))
     return spark.read.schema(df.schema).parquet(path)

@@ -9,8 +9,10 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strataforge.sources.delimited import Files
+from strataforge.operators.conform import Change
 from strataforge.operators.staging import rejects
 
 FILE_PLATFORMS, TABLE_PLATFORMS = ("file", "adls", "onelake"), ("delta", "lakehouse", "databricks")
@@ -95,45 +97,119 @@ def csv_to_parquet(spark: SparkSession, source: str, target: str) -> None:
     read_delimited(spark, source).fillna("").write.mode("overwrite").parquet(target)
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer made the next version first; what this one computed is from an old table."""
+
+
+class Batches:
+    """The batch ids a table has, however many: whole numbers as ranges, others by name."""
+
+    def __init__(self, kept: Mapping[str, Any] | None = None) -> None:
+        kept = kept or {}
+        self.ranges: list[list[int]] = [list(r) for r in kept.get("ranges", [])]
+        self.names: list[str] = list(kept.get("names", []))
+
+    @staticmethod
+    def _number(batch_id: str) -> int | None:
+        return int(batch_id) if batch_id.isascii() and batch_id.isdigit() and str(int(batch_id)) == batch_id else None
+
+    def __contains__(self, batch_id: str) -> bool:
+        n = self._number(batch_id)
+        return batch_id in self.names if n is None else any(a <= n <= z for a, z in self.ranges)
+
+    def add(self, batch_id: str) -> None:
+        n = self._number(batch_id)
+        if n is None:
+            self.names.append(batch_id)
+            return
+        merged: list[list[int]] = []
+        for a, z in sorted([*self.ranges, [n, n]]):
+            if merged and a <= merged[-1][1] + 1:
+                merged[-1][1] = max(z, merged[-1][1])
+            else:
+                merged.append([a, z])
+        self.ranges = merged
+
+    def kept(self) -> dict[str, Any]:
+        return {"ranges": self.ranges, "names": self.names}
+
+
 class VersionedTable:
-    """A table that is replaced whole: each version in its own folder, a small pointer naming the current one.
+    """A table of immutable folders in named parts; each version is a small numbered file that lists them.
 
-    Readers see the old version or the new, never a mixture. A batch id that was already written is skipped, so repeating a
-    batch after a failure changes nothing.
+    A batch writes only its own folders: rows added to a part, or a part's rows anew. Readers see the old version or the new,
+    never a mixture. A version's file is made only if it isn't there yet, so of two writers one gets ConcurrentWrite (on stores
+    whose rename doesn't replace, such as HDFS). All batch ids are kept; a batch that was already written is skipped, so
+    repeating it after a failure changes nothing.
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path, self.files = spark, path.rstrip("/"), Files(spark)
 
+    def _versions(self) -> list[str]:
+        return [p for p in self.files.list(f"{self.path}/_versions") if p.endswith(".json")]
+
     def _pointer(self) -> dict[str, Any]:
-        name = f"{self.path}/_current.json"
-        return json.loads(self.files.read_text(name)) if self.files.exists(name) else {}
+        """The current version: number, parts (folders by part), schema and batches; number 0 if there is none."""
+        found = self._versions()
+        return json.loads(self.files.read_text(found[-1])) if found else {"number": 0, "parts": {}}
 
     def exists(self) -> bool:
-        return bool(self._pointer())
+        return bool(self._versions())
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{self._pointer()['version']}")
+    def read(self, *parts: str) -> DataFrame:
+        """The rows of the parts, by default of all."""
+        pointer = self._pointer()
+        folders = [f for name, part in pointer["parts"].items() if not parts or name in parts for f in part]
+        schema = StructType.fromJson(pointer["schema"])
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders]) if folders else self.spark.createDataFrame([], schema)
 
     def has_batch(self, batch_id: str) -> bool:
-        return batch_id in self._pointer().get("batches", [])
+        return batch_id in Batches(self._pointer().get("batches"))
+
+    def replace(self, df: DataFrame, batch_id: str | None = None) -> None:
+        """All rows anew: the only part then is ``rows``."""
+        self._commit(Change(replaced={"rows": df}), batch_id, keep=False)
 
-    def replace(self, df: DataFrame, batch_id: str | None = None, keep_batches: int = 1000) -> None:
+    def append(self, df: DataFrame, batch_id: str | None = None) -> None:
+        self._commit(Change(added={"rows": df}), batch_id)
+
+    def apply(self, change: Change, batch_id: str | None = None) -> None:
+        self._commit(change, batch_id)
+
+    def _commit(self, change: Change, batch_id: str | None, keep: bool = True) -> None:
         was = self._pointer()
-        if batch_id is not None and batch_id in was.get("batches", []):
-            return
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{version}")
-        batches = [*was.get("batches", []), *([batch_id] if batch_id is not None else [])][-keep_batches:]
-        self.files.write_text(f"{self.path}/_current.json", json.dumps({"version": version, "previous": was.get("version"), "batches": batches}))
+        batches = Batches(was.get("batches"))
+        if batch_id is not None:
+            if batch_id in batches:
+                return
+            batches.add(batch_id)
+        parts = {n: list(f) for n, f in was["parts"].items()} if keep else {}
+        schema = was.get("schema")
+        for part, df, fresh in [*((n, d, True) for n, d in change.replaced.items()), *((n, d, False) for n, d in change.added.items())]:
+            folder = f"p-{uuid.uuid4().hex}"
+            df.write.parquet(f"{self.path}/{folder}")
+            parts[part] = [folder] if fresh else [*parts.get(part, []), folder]
+            schema = json.loads(df.schema.json()) if schema is None or not keep else schema
+        pointer = {"number": was["number"] + 1, "parts": parts, "schema": schema, "batches": batches.kept(), "writer": uuid.uuid4().hex}
+        if not self.files.create_text(f"{self.path}/_versions/{pointer['number']:012d}.json", json.dumps(pointer)):
+            raise ConcurrentWrite(f"Version {pointer['number']} of {self.path} was made by another writer")
+
+    def compact(self) -> None:
+        """Each part's folders written as one; the rows are the same."""
+        many = [n for n, folders in self._pointer()["parts"].items() if len(folders) > 1]
+        if many:
+            self._commit(Change(replaced={n: self.read(n) for n in many}), None)
 
     def vacuum(self) -> None:
-        """Deletes versions that are neither current nor the one before."""
-        pointer = self._pointer()
-        keep = {pointer.get("version"), pointer.get("previous")}
+        """Deletes what neither the current version nor the one before lists."""
+        versions = self._versions()
+        keep = {f for v in versions[-2:] for part in json.loads(self.files.read_text(v))["parts"].values() for f in part}
+        for v in versions[:-2]:
+            self.files.delete(v)
         for p in self.files.list(self.path):
             name = p.rsplit("/", 1)[1]
-            if name.startswith("v-") and name not in keep:
+            if name.startswith("p-") and name not in keep:
                 self.files.delete(p)
 
 

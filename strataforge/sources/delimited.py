@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataforge.operators.staging import DatasetContract
@@ -59,40 +64,80 @@ class Files:
         finally:
             stream.close()
 
-    def write_text(self, path: str, text: str) -> None:
-        """Written aside and renamed over the old one in one step, so a reader, or a run after a crash, sees the old text or the new."""
+    def _aside(self, path: str, text: str):
+        """The text in a new file beside path: file context, and both paths."""
         fs, p = self._at(path)
         hadoop = self.jvm.org.apache.hadoop.fs
-        aside = hadoop.Path(path + ".new")
+        aside = hadoop.Path(f"{path}.{uuid.uuid4().hex}.new")
         out = fs.create(aside, True)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        rename = self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename").getEnumConstants()
-        overwrite = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
-        overwrite[0] = next(r for r in rename if r.toString() == "OVERWRITE")
-        hadoop.FileContext.getFileContext(fs.getUri(), self.conf).rename(fs.makeQualified(aside), fs.makeQualified(p), overwrite)
+        return hadoop.FileContext.getFileContext(fs.getUri(), self.conf), fs.makeQualified(aside), fs.makeQualified(p)
+
+    def _renames(self, *names: str):
+        options = self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename").getEnumConstants()
+        chosen = [next(o for o in options if o.toString() == n) for n in names]
+        array = self.spark.sparkContext._gateway.new_array(getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename"), len(chosen))
+        for i, o in enumerate(chosen):
+            array[i] = o
+        return array
+
+    def read_head(self, path: str, size: int) -> bytes:
+        """A file's first bytes, at most ``size``."""
+        fs, p = self._at(path)
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readNBytes(size))
+        finally:
+            stream.close()
 
+    def write_text(self, path: str, text: str) -> None:
+        """Written aside and renamed over the old one in one step, so a reader, or a run after a crash, sees the old text or the new."""
+        context, aside, p = self._aside(path, text)
+        context.rename(aside, p, self._renames("OVERWRITE"))
 
-def header(spark: SparkSession, path: str, delimiter: str = ",") -> list[str]:
-    first = spark.read.option("sep", delimiter).option("multiLine", True).option("escape", '"').csv(path).limit(1).collect()
-    return [v or "" for v in first[0]] if first else []
+    def create_text(self, path: str, text: str) -> bool:
+        """Writes a file that must not be there yet; whether this writer was the one to make it."""
+        context, aside, p = self._aside(path, text)
+        try:
+            context.rename(aside, p, self._renames("NONE"))
+        except Exception:
+            self.delete(aside.toString())
+            if not self.exists(path):
+                raise
+        return self.read_text(path) == text
 
 
-def read_delimited(spark: SparkSession, paths: str | Sequence[str], delimiter: str = "comma", columns: list[str] | None = None) -> DataFrame:
-    """All columns as text, empty values as empty strings; columns are the header's unless given."""
+def header(spark: SparkSession, path: str, delimiter: str = ",") -> list[str]:
+    """The first record, from the file's first bytes; no job runs. An empty file has none."""
+    files, size = Files(spark), 1 << 16
+    while True:
+        head = files.read_head(path, size)
+        text = head.decode("utf-8", "ignore").removeprefix("\ufeff")
+        reader = csv.reader(io.StringIO(text, newline=""), delimiter=delimiter)
+        first = next((row for row in reader if row), [])
+        # Whole if something follows it or the file ends with it.
+        if len(head) < size or next(reader, None) is not None:
+            return first
+        size *= 8
+
+
+def read_delimited(spark: SparkSession, paths: str | Sequence[str], delimiter: str = "comma", columns: list[str] | None = None, multiline: bool = True) -> DataFrame:
+    """All columns as text, empty values as empty strings; columns are the header's unless given. Files whose values have no
+    line breaks (``multiline`` false) are read in splits."""
     sep = DELIMITERS.get(delimiter, ",")
     first = paths if isinstance(paths, str) else paths[0]
     names = columns or header(spark, first, sep)
-    reader = spark.read.schema(strings(names)).option("sep", sep).option("header", True).option("multiLine", True).option("escape", '"').option("nullValue", "\u0000").option("emptyValue", "").option("enforceSchema", True)
+    reader = spark.read.schema(strings(names)).option("sep", sep).option("header", True).option("multiLine", multiline).option("escape", '"').option("nullValue", "\u0000").option("emptyValue", "").option("enforceSchema", True)
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
 def count_rows(spark: SparkSession, path: str, delimiter: str = "comma") -> int:
     """Parsed rows without the header; a missing path raises, an empty file has 0."""
     if not Files(spark).exists(path):
-        raise FileNotFoundError(f"Source path does not exist: {path}")
+        raise FileNotFoundError(f"There is nothing at {path}")
     rows = spark.read.option("sep", DELIMITERS.get(delimiter, ",")).option("multiLine", True).option("escape", '"').csv(path)
     return max(rows.count() - 1, 0) if rows.columns else 0
 
@@ -100,7 +145,7 @@ def count_rows(spark: SparkSession, path: str, delimiter: str = "comma") -> int:
 def source_files(spark: SparkSession, root: str, table_name: str, load_type: str = "full", source_date: str | None = None) -> list[str]:
     """The table's file and its parts (<stem>_*.csv), sorted, in the root or the dated extract; deltas need a date."""
     if load_type == "delta" and not source_date:
-        raise ValueError("source_date is required for delta loads")
+        raise ValueError("A delta load needs a source_date")
     folder = f"{root}/{load_type}_sources/{source_date}" if source_date else root
     stem = table_name.rsplit(".", 1)[0]
     name = lambda p: p.rsplit("/", 1)[1]
@@ -111,47 +156,62 @@ def check_header(actual: list[str], contract: DatasetContract, load_type: str, f
     """Whether the header has delta_action. Deltas must have it, after the contract's columns; full extracts must be those columns alone."""
     delta = load_type == "delta"
     if actual != [*contract.expected_columns, *["delta_action"] * delta]:
-        raise ValueError(f"{file_name} schema mismatch. Expected {contract.expected_columns}, on deltas with delta_action; got {actual}")
+        raise ValueError(f"{file_name} has the columns {actual}, the contract {contract.expected_columns}{' and delta_action' if delta else ''}")
     return delta
 
 
 def read_source(spark: SparkSession, files: Sequence[str], contract: DatasetContract, load_type: str = "full") -> DataFrame:
     """Rows of all files with _source_file_name, _source_file_path, _source_file_modified_at and _source_row_number (from 2).
 
-    A file with quoted line breaks can't be split, so one task reads it and numbers its rows in order. Mutable rows without
-    effective_at or updated_at raise when they are read.
+    Files with one header are one scan. A first pass counts the rows of every split, so that rows are numbered by file
+    wherever they are read; splits are whole files unless the contract says that values have no line breaks. Mutable rows
+    without effective_at or updated_at raise when they are read.
     """
-    out = None
-    for path in files:
-        name = path.rsplit("/", 1)[1]
-        columns = header(spark, path)
-        check_header(columns, contract, load_type, name)
-        rows = read_delimited(spark, path, columns=columns)
-        numbered = rows.select("*", F.col("_metadata.file_modification_time").alias("_source_file_modified_at")).withColumn("_source_row_number", (F.monotonically_increasing_id() + 2).cast("string"))
-        numbered = numbered.withColumns({"_source_file_name": F.lit(name), "_source_file_path": F.lit(path), "_source_file_modified_at": F.date_format("_source_file_modified_at", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")})
-        if contract.is_mutable:
-            missing = (F.coalesce("effective_at", F.lit("")) == "") | (F.coalesce("updated_at", F.lit("")) == "")
-            message = F.concat(F.lit(f"{name} row "), F.col("_source_row_number"), F.lit(" missing effective_at or updated_at"))
-            numbered = numbered.withColumn("effective_at", F.when(missing, F.raise_error(message).cast("string")).otherwise(F.col("effective_at")))
-        out = numbered if out is None else out.unionByName(numbered, allowMissingColumns=True)
-    if out is None:
-        raise FileNotFoundError(f"No source CSV found for {contract.table_name}")
-    return out
+    if not files:
+        raise FileNotFoundError(f"There is no file of {contract.table_name}")
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda p: header(spark, p), files))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path, columns in zip(files, headers):
+        check_header(columns, contract, load_type, path.rsplit("/", 1)[1])
+        by_header.setdefault(tuple(columns), []).append(path)
+    parts = [_numbered(read_delimited(spark, paths, columns=list(columns), multiline=contract.multiline), columns[0]) for columns, paths in by_header.items()]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    if contract.is_mutable:
+        missing = (F.coalesce("effective_at", F.lit("")) == "") | (F.coalesce("updated_at", F.lit("")) == "")
+        message = F.concat(F.col("_source_file_name"), F.lit(": row "), F.col("_source_row_number"), F.lit(" lacks effective_at or updated_at"))
+        rows = rows.withColumn("effective_at", F.when(missing, F.raise_error(message).cast("string")).otherwise(F.col("effective_at")))
+    return rows
+
+
+def _numbered(rows: DataFrame, first_column: str) -> DataFrame:
+    """rows with their file's name, path and time and their place in it, the header being row 1."""
+    data = [F.col(f"`{c}`") for c in rows.columns]
+    placed = rows.select(*data, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata").alias("_meta"), F.monotonically_increasing_id().alias("_id"))
+    # One row for each split; Spark chooses how to join it by its size.
+    splits = placed.groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("_rows"), F.count(F.col(f"`{first_column}`")).alias("_filled"), F.min("_id").alias("_first"))
+    before = F.sum("_rows").over(Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = splits.select(F.col("_path").alias("_p"), F.col("_start").alias("_s"), "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    met = placed.join(offsets, (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s")))
+    return met.select(
+        *data, F.col("_meta.file_name").alias("_source_file_name"), F.col("_path").alias("_source_file_path"),
+        F.date_format("_meta.file_modification_time", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").alias("_source_file_modified_at"), (F.col("_id") - F.col("_first") + F.col("_before") + 2).cast("string").alias("_source_row_number"),
+    )
 
 
 def read_manifest(spark: SparkSession, root: str, source_date: str, table_names: Sequence[str], load_type: str) -> dict[str, int]:
     """Expected counts by table. A wrong date raises, so do tables a full manifest lacks; tables nobody asked for are skipped."""
     path = f"{root}/{load_type}_sources/{source_date}/manifest.csv"
     if not Files(spark).exists(path):
-        raise FileNotFoundError(f"{load_type} manifest does not exist: {path}")
+        raise FileNotFoundError(f"There is no {load_type} manifest at {path}")
     rows = read_delimited(spark, path).where(F.col("table_name").isin(*table_names)).collect()
     for r in rows:
         if r.source_date != source_date:
-            raise ValueError(f"Manifest source_date mismatch for {r.table_name}: {r.source_date}")
+            raise ValueError(f"The manifest of {source_date} dates {r.table_name} to {r.source_date}")
     expected = {r.table_name: int(r.row_count) for r in rows}
     missing = sorted(set(table_names) - set(expected))
     if missing and load_type == "full":
-        raise ValueError(f"Full extract manifest missing tables: {missing}")
+        raise ValueError(f"The full manifest doesn't list {missing}")
     return expected
 
 

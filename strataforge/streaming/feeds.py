@@ -1,18 +1,21 @@
 """Streams: change feeds and events applied in micro-batches, and windowed summaries with late data.
 
-The merges are the batch ones, run by foreachBatch on a table that is swapped whole; the batch id is stored with the
-version, so a micro-batch repeated after a failure changes nothing.
+The merges are the batch ones, run by foreachBatch on a versioned table; a merge that gives a Change writes only what the
+micro-batch changes. The batch id is stored with the version, so a micro-batch repeated after a failure changes nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from strataforge.operators.conform import Change
+from strataforge.session import scratch_tables
 from strataforge.sinks.writers import VersionedTable
 
 
@@ -20,8 +23,9 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_ba
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(source).load(path)
 
 
-def merge_stream(stream: DataFrame, table: VersionedTable, merge: Callable[[DataFrame, DataFrame], DataFrame], first: Callable[[DataFrame], DataFrame], checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Applies merge(current table, batch) to each micro-batch; ``first`` makes the empty table from the first batch.
+def merge_stream(stream: DataFrame, table: VersionedTable, merge: Callable[[Any, DataFrame], DataFrame | Change], first: Callable[[DataFrame], DataFrame], checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Applies merge(now, batch) to each micro-batch; now(*parts) gives the table's rows. ``first`` makes the empty table from the
+    first batch.
 
     Without an interval all that is there is processed and the query ends; with one it runs on at that target lag.
     """
@@ -30,8 +34,9 @@ def merge_stream(stream: DataFrame, table: VersionedTable, merge: Callable[[Data
         key = str(batch_id)
         if table.has_batch(key):
             return
-        current = table.read() if table.exists() else first(batch)
-        table.replace(merge(current, batch), key)
+        with scratch_tables():
+            done = merge(table.read if table.exists() else lambda *_: first(batch), batch)
+            table.apply(done, key) if isinstance(done, Change) else table.replace(done, key)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)

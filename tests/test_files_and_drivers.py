@@ -48,23 +48,23 @@ def test_delta_manifest(spark, root):
     e = stage(spark, root, load_type="delta", source_date="2025-01-02")
     assert e["status"] == "SUCCESS" and spark.read.parquet(e["staging_path"]).first()["_delta_action"] == "DELETE"
     put(root / "delta_sources/2025-01-03/manifest.csv", "source_date,table_name,row_count", "2025-01-04,clients.csv,1")
-    with pytest.raises(ValueError, match="source_date mismatch"):
+    with pytest.raises(ValueError, match="dates clients.csv to 2025-01-04"):
         stage(spark, root, load_type="delta", source_date="2025-01-03")
 
 
 def test_wrong_counts_headers_and_missing_times_are_audited(spark, root):
     put(root / "full_sources/2025-01-02/manifest.csv", "source_date,table_name,row_count", "2025-01-02,clients.csv,5")
     put(root / "full_sources/2025-01-02/clients.csv", HEAD, "1,a,2025-01-01,2025-01-01")
-    assert "expected 5, got 1" in stage(spark, root, source_date="2025-01-02")["error_message"]
+    assert "announces 5 rows of clients.csv, its files hold 1" in stage(spark, root, source_date="2025-01-02")["error_message"]
     put(root / "clients.csv", "client_id,wrong", "1,a")
-    assert "schema mismatch" in stage(spark, root)["error_message"]
+    assert "has the columns" in stage(spark, root)["error_message"]
     put(root / "clients.csv", HEAD, "1,a,,2025-01-01")
-    assert "row 2 missing effective_at or updated_at" in stage(spark, root)["error_message"]
+    assert "clients.csv: row 2 lacks effective_at or updated_at" in stage(spark, root)["error_message"]
     put(root / "full_sources/2025-01-09/manifest.csv", "source_date,table_name,row_count")
     put(root / "delta_sources/2025-01-07/manifest.csv", "source_date,table_name,row_count", "2025-01-07,clients.csv,1")
     put(root / "delta_sources/2025-01-07/clients.csv", HEAD, "1,a,2025-01-01,2025-01-01")
-    assert "schema mismatch" in stage(spark, root, load_type="delta", source_date="2025-01-07")["error_message"]
-    with pytest.raises(ValueError, match="missing tables"):
+    assert "and delta_action" in stage(spark, root, load_type="delta", source_date="2025-01-07")["error_message"]
+    with pytest.raises(ValueError, match="doesn't list"):
         stage(spark, root, source_date="2025-01-09")
     with pytest.raises(ValueError, match="Unsupported load_type"):
         stage(spark, root, load_type="weekly")
@@ -88,12 +88,12 @@ def test_ingestion_and_metadata(spark, tmp_path):
     c = Catalog(spark, metadata=meta)
     events = run_ingestion(spark, c, str(tmp_path), str(tmp_path / "audit"), run_id="R", now=NOW)
     assert [(e["dataset_id"], e["status"]) for e in events] == [("A", "SUCCESS"), ("C", "FAILED")]
-    assert events[0]["target_record_count"] == 2 and "dataset.dataset_name is required" in events[1]["error_message"]
+    assert events[0]["target_record_count"] == 2 and "The dataset record has no dataset_name, source_system_id, load_type" in events[1]["error_message"]
     assert [d["dataset_id"] for d in c.active_datasets(dataset_group="g")] == ["A"]
     assert c.frame("md_dataset", "datasets").count() == 3
     with pytest.raises(KeyError):
         c.source("B")
-    assert "source.dataset_id does not match dataset.dataset_id" in validate_metadata({"dataset_id": "A"}, {"dataset_id": "B"}, {"dataset_id": "A"})
+    assert "The source record belongs to B, not to A" in validate_metadata({"dataset_id": "A"}, {"dataset_id": "B"}, {"dataset_id": "A"})
 
 
 def test_transform_run(spark, tmp_path):
@@ -103,30 +103,30 @@ def test_transform_run(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps(contract))
     run = lambda key: run_transform(spark, str(tmp_path / "c.json"), str(tmp_path), str(tmp_path / "audit"), dataset_id=key, run_id="R", now=NOW)
     e = run("DS_REF_POPULATION_001")
-    assert (e["status"], e["source_record_count"], e["target_record_count"]) == ("SUCCESS", 2, 1)
+    assert (e["status"], e["input_record_count"], e["output_record_count"]) == ("SUCCESS", 2, 1)
     assert float(spark.read.option("header", True).csv(str(tmp_path / "out/p")).first()["age_group_0_14"]) == 18.7
     with pytest.raises(ValueError, match="Contract is for"):
         run("OTHER")
     put(tmp_path / "raw/p.tsv", "indic_de_geo_time\t2019", "PC_Y0_14,AU\t1.2.3")
-    assert "Invalid percentage value" in run("DS_REF_POPULATION_001")["error_message"]
-    with pytest.raises(ValueError, match="Unsupported contract"):
+    assert "is no percentage" in run("DS_REF_POPULATION_001")["error_message"]
+    with pytest.raises(ValueError, match="is no JSON contract"):
         load_contract(spark, str(tmp_path / "c.yaml"))
     assert "DS_REF_POPULATION_001" in TRANSFORMS
 
 
 def test_model_export(spark, tmp_path):
-    assert validate_export(spark, str(tmp_path)) == [f"{f} is required" for f in FILES]
+    assert validate_export(spark, str(tmp_path)) == [f"{f} is not there" for f in FILES]
     values = {"erwin_model.csv": ["m,1,s,t,me"], "erwin_objects.csv": ["m,1,s,E,O,table,p,d"], "erwin_columns.csv": ["m,1,O,l,C,string,,,,Y,N,b,d,public", "m,1,O,l,D,,,,,Y,N,b,d,odd"], "erwin_mappings.csv": ["m,1,s,o,c,t,o,,x,b,public"]}
     for f, rows in values.items():
-        put(tmp_path / f, FILES[f].replace(" ", ","), *rows)
+        put(tmp_path / f, ",".join(FILES[f]), *rows)
     out = load_export(spark, str(tmp_path), model_version_id="V", imported_at=NOW)
     assert out.errors == [] and out.report["column_count"] == 2 and out.report["warning_count"] == 3
     assert out.tables["stg_erwin_column"].first()["erwin_model_version"] == "1"
-    put(tmp_path / "erwin_columns.csv", FILES["erwin_columns.csv"].replace(" ", ","), values["erwin_columns.csv"][0], values["erwin_columns.csv"][0], "m,1,,l,C,string,,,,Y,N,b,d,public")
-    put(tmp_path / "erwin_model.csv", FILES["erwin_model.csv"].replace(" ", ","), "m,,s,t,me")
+    put(tmp_path / "erwin_columns.csv", ",".join(FILES["erwin_columns.csv"]), values["erwin_columns.csv"][0], values["erwin_columns.csv"][0], "m,1,,l,C,string,,,,Y,N,b,d,public")
+    put(tmp_path / "erwin_model.csv", ",".join(FILES["erwin_model.csv"]), "m,,s,t,me")
     out = load_export(spark, str(tmp_path), model_version_id="V", imported_at=NOW)
     assert out.report["import_status"] == "FAILED" and out.errors == [
-        "erwin_model.csv:2 model_version is required", "erwin_columns.csv:3 duplicate physical object + column: ('O', 'C')", "erwin_columns.csv:4 physical_object_name is required",
+        "erwin_model.csv:2 has no model_version", "erwin_columns.csv:3 repeats O.C", "erwin_columns.csv:4 has no physical_object_name",
     ]
 
 
@@ -154,7 +154,7 @@ def test_targets_tables_and_catalog(spark, tmp_path):
     t.replace(df, "b1")
     assert t.read().count() == 2 and t.has_batch("b1")
     t.vacuum()
-    assert t.read().count() == 2 and sum(p.name.startswith("v-") for p in (tmp_path / "v").iterdir()) == 2
+    assert t.read().count() == 2 and sum(p.name.startswith("p-") for p in (tmp_path / "v").iterdir()) == 2
     assert external.list_files(spark, str(tmp_path / "t"), "*.parquet").count() > 0
     external.create_external_table(spark, "ext_t", str(tmp_path / "t"))
     external.refresh_table(spark, "ext_t")

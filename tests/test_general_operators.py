@@ -29,7 +29,7 @@ def test_asof_against_brute_force(spark, rows_per_bucket):
         past = [a for (k, a) in by_begin if k == e and at and a <= at]
         v, b = by_begin[e, max(past)] if past else (None, None)
         want[x] = v if past and (b is None or at < b) else None
-    got = asof_version(spark.createDataFrame(events, EVENTS), spark.createDataFrame(versions, VERSIONS), rows_per_bucket=rows_per_bucket, slice_days=5).collect()
+    got = asof_version(spark.createDataFrame(events, EVENTS), spark.createDataFrame(versions, VERSIONS), rows_per_bucket=rows_per_bucket).collect()
     assert len(got) == len(events)
     assert {g.event_id: g.version for g in got} == want
 
