@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataforge.operators import conform
+from strataforge.operators.features import fuel_anomaly_score
 from strataforge.operators.quality import certify, enforce, mask_pii
 from strataforge.operators.reshape import population_by_age
 from strataforge.operators.staging import DatasetContract, stage_counts, stage_rows
@@ -157,6 +158,12 @@ def run_transform(
         return audit.log({**base, "status": "FAILED", "input_record_count": 0, "output_record_count": 0, "error_message": str(e)}, now)
 
 
+def build_feature(target: VersionedTable, transactions: DataFrame, usage: DataFrame, cards: DataFrame, vehicles: DataFrame, clients: DataFrame, *, batch_date: str, scored_at: str) -> str:
+    """Scores the transactions up to a date into the feature's table, which is replaced; says how many rows it has."""
+    target.replace(fuel_anomaly_score(transactions, usage, cards, vehicles, clients, batch_date, scored_at))
+    return f"{target.read().count()} rows scored"
+
+
 def check_output(df: DataFrame, expected: Sequence[str]) -> None:
     missing = sorted(set(expected) - set(df.columns))
     if missing:

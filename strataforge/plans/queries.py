@@ -531,17 +531,6 @@ def reshape_pivot_lookup(spark, d):
     return reshape.pivot_last(c, "n_name", "c_mktsegment", "c_acctbal", ["c_custkey"], {"BUILDING": "building", "MACHINERY": "machinery"})
 
 
-_POPULATION = [("PC_Y0_14,AU", "18.7p"), ("PC_Y15_24, au", " 12.1 "), ("PC_Y0_14,AU", "19.0"), ("PC_Y80_MAX,DE", ":"), ("Y25_49,DE", "35.2b"), ("PC_Y0_14,XXX", "1"), ("broken", "2"), ("PC_Y9_9,DE", "3"), ("PC_Y0_14,FR", "17")]
-
-
-@query("select * from (values ('Australia', 'AU', 'AUS', '25', 19.0::double, 12.1::double, null::double, null::double, null::double, null::double), ('Germany', 'DE', 'DEU', '83', null, null, 35.2::double, null, null, null)) t(country, country_code_2_digit, country_code_3_digit, population, age_group_0_14, age_group_15_24, age_group_25_49, age_group_50_64, age_group_65_79, age_group_80_max)")
-def population_by_age(spark, d):
-    rows = spark.createDataFrame([(i, *r) for i, r in enumerate(_POPULATION)], "pos int, indic_de_geo_time string, `2019` string")
-    countries = spark.createDataFrame([("Australia", "AU", "AUS", "25"), ("Germany", "DE", "DEU", "83")], ", ".join(f"{c} string" for c in reshape.COUNTRY))
-    out = reshape.population_by_age(rows, countries, ["pos"])
-    return out.select(*[F.col(c).cast("double").alias(c) if c.startswith("age") else F.col(c) for c in out.columns])
-
-
 def _rule(name: str, sql: str, rules: list[dict], source: str, cols: list[str], tables: Callable | None = None) -> None:
     def run(spark, d):
         return RuleEngine().apply(table(spark, d, source).select(*cols), rules, tables(spark, d) if tables else None)
@@ -687,32 +676,9 @@ def pii_mask(spark, d):
     return table(spark, d, "customer").select("c_custkey", quality.mask_column(c, "mask").alias("masked"), quality.mask_column(c, "tokenize", "s").alias("token"), quality.mask_column(c, "partial").alias("partial"))
 
 
-@query("select * from (values ('A', 'X', 'data_type_mismatch', 'High'), ('A', 'Y', 'column_missing', 'High'), ('A', 'Z', 'column_extra', 'Medium'), ('B', 'K', 'object_missing', 'Critical'), ('C', 'Q', 'object_extra', 'Medium')) t(object_name, column_name, check_type, severity)")
-def schema_reconcile(spark, d):
-    cols = "object_name string, column_name string, data_type string, nullable_flag string, primary_key_flag string, classification string, mapping string, rule string"
-    row = lambda o, c, t: (o, c, t, "true", "false", "", "m", "r")
-    model = spark.createDataFrame([row("a", "x", "DECIMAL(18, 2)"), row("a", "y", "string"), row("b", "k", "string"), row("a", "same", "int")], cols)
-    platform = spark.createDataFrame([row("A", "X", "FLOAT"), row("A", "Z", "string"), row("C", "Q", "string"), row("A", "SAME", "INT")], cols)
-    return quality.reconcile_schemas(model, model, platform).select("object_name", "column_name", "check_type", "severity")
-
-
-@query("select 'D1' dataset_id, 3::bigint runs, 1::bigint failed_runs, true fresh union all select 'D2', 1, 1, false union all select 'D3', 1, 0, false")
-def run_monitor(spark, d):
-    audit = spark.createDataFrame([("D1", "SUCCESS", "2024-01-02 01:00:00"), ("D1", "FAILED", "2024-01-02 02:00:00"), ("D1", "SUCCESS_WITH_WARNINGS", "2024-01-01 01:00:00"), ("D2", "FAILED", "2024-01-02 00:00:00"), ("D3", "SUCCESS", "2023-12-01 00:00:00")], "dataset_id string, status string, completed_at string")
-    return quality.run_monitor(audit, "2024-01-02 06:00:00").select("dataset_id", "runs", "failed_runs", "fresh")
-
-
-@query("select true certified, 3::bigint checks, 1::bigint failed, 'T2' failed_checks, 'R1' run_id")
-def certification_and_evidence(spark, d):
-    checks = spark.createDataFrame([("T1", "PASS"), ("T2", "FAIL"), ("T3", "PASS")], "test_id string, test_status string")
-    audit = spark.createDataFrame([("R1", "SUCCESS"), ("R2", "FAILED")], "run_id string, status string")
-    pack = quality.evidence_pack(audit, checks, "R1").select("run_id", "failed_checks")
-    return pack.join(quality.certify(checks, ["T1"]).withColumn("run_id", F.lit("R1")), "run_id").select("certified", "checks", "failed", "failed_checks", "run_id")
-
-
 @query()
 def profile_columns(spark, d):
-    names = ["customer", "orders", "lineitem", "part", "supplier", "events", "vehicles_ext", "dim_vehicle"]
+    names = ["customer", "orders", "lineitem", "part", "supplier", "events", "vehicles_ext", "dim_vehicle", "documents"]
     out = None
     for n in names:
         one = quality.profile(table(spark, d, n)).withColumn("table_name", F.lit(n))

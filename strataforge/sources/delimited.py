@@ -131,7 +131,7 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], delimiter: s
     first = paths if isinstance(paths, str) else paths[0]
     names = columns or header(spark, first, sep)
     reader = spark.read.schema(strings(names)).option("sep", sep).option("header", True).option("multiLine", multiline).option("escape", '"').option("nullValue", "\u0000").option("emptyValue", "").option("enforceSchema", True)
-    return reader.csv(paths if isinstance(paths, str) else list(paths))
+    return reader.csv(paths if isinstance(paths, str) else list(paths)).fillna("")
 
 
 def count_rows(spark: SparkSession, path: str, delimiter: str = "comma") -> int:

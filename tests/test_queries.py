@@ -4,7 +4,7 @@ import sys
 
 import pytest
 
-from strataforge.plans import problems, problems_sql, queries
+from strataforge.plans import problems, problems_sql, queries, run_queries  # noqa: F401
 from tests.oracle import SF, assert_same, connect
 
 ALL = {**queries.QUERIES, **problems.QUERIES}
