@@ -18,8 +18,8 @@ def ordered_ids(df: DataFrame, order: list[str], name: str, start: int = 1) -> D
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_offset"))
-    # One row for each shuffle partition; Spark joins it by its size.
-    numbered = ranged.join(offsets, "_range")
+    # One row for each shuffle partition; read from a file its size is known, and Spark joins it without a shuffle of the rows.
+    numbered = ranged.join(materialise(offsets, "offsets"), "_range")
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     return numbered.withColumn(name, (inside + F.col("_offset") + F.lit(start - 1)).cast("long")).drop("_range", "_offset")
 

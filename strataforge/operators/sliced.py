@@ -37,6 +37,7 @@ def with_slices(df: DataFrame, key: str, order: str | Sequence[str], rows_per_sl
     total = hot.agg(F.sum("_n")).first()[0]
     if not total:
         return df.withColumn("slice", F.lit(-1)), False
+    hot = materialise(hot, "hot-keys")
     is_hot = F.col(key).eqNullSafe(F.col("_hot"))
     large = range_slices(df.join(hot.select("_hot"), is_hot, "left_semi"), [key, *order], total, rows_per_slice, "slices")
     return df.join(hot.select("_hot"), is_hot, "left_anti").withColumn("slice", F.lit(-1)).unionByName(large), True

@@ -9,28 +9,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataforge.session import materialise
+
 
 def snapshot_calendar(rows: DataFrame, batch: str) -> DataFrame:
-    """The distinct snapshots in order: batch, n (from 1), next_batch. As many rows as there are snapshot days."""
+    """The distinct snapshots in order: batch, n (from 1), next_batch. As many rows as there are snapshot days.
+
+    Written down once: read from there its size is known, and Spark joins it without shuffling the other side."""
     days = Window.orderBy(batch)
-    return (
+    return materialise(
         rows.where(F.col(batch).isNotNull())
         .groupBy(batch)
         .agg(F.lit(1).alias("_one"))
-        .select(batch, F.row_number().over(days).alias("n"), F.lead(batch).over(days).alias("next_batch"))
+        .select(batch, F.row_number().over(days).alias("n"), F.lead(batch).over(days).alias("next_batch")),
+        "calendar",
     )
 
 
-def snapshot_records(rows: DataFrame, *, key: Column, batch: str, is_record: Column, record_hash: Column, order: list[Column]) -> DataFrame:
+def snapshot_records(rows: DataFrame, calendar: DataFrame, *, key: Column, batch: str, is_record: Column, record_hash: Column, order: list[Column]) -> DataFrame:
     """One row for each key and snapshot with rows of the key: key, n, record_hash (null: no record).
 
     A key with rows but no record row keeps the record of the snapshot before, if it has one there. If several rows
     claim to be the record, the last by ``order`` and hash is taken. Null keys and null snapshots are no rows.
     """
     best = F.max(F.when(is_record, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], record_hash.alias("h"))))
-    calendar = snapshot_calendar(rows, batch)
     per_snapshot = rows.where(key.isNotNull() & F.col(batch).isNotNull()).groupBy(key.alias("key"), F.col(batch)).agg(best.alias("best"))
-    # The calendar has a row for each day there is a snapshot; Spark joins it by its size.
     numbered = per_snapshot.join(calendar, batch).select("key", "n", "best")
     # A run is a stretch of consecutive snapshots in which the key has rows; records carry forward only inside it.
     per_key = Window.partitionBy("key").orderBy("n")

@@ -84,15 +84,17 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = full_rows(spark, sf_dir)
+    calendar = snapshot_calendar(rows, "_batch_date")
     records = snapshot_records(
         rows,
+        calendar,
         key=norm_id(F.col("vehicle_id")),
         batch="_batch_date",
         is_record=is_true(F.col("_is_latest_for_business_key")),
         record_hash=norm_hash(F.col("_record_hash")),
         order=[F.col("updated_at"), F.col("staged_row_id")],
     )
-    found = diff_snapshots(records, snapshot_calendar(rows, "_batch_date"), "_batch_date")
+    found = diff_snapshots(records, calendar, "_batch_date")
     return found.select(date_text(F.col("_batch_date")).alias("batch_date"), F.col("key").alias("vehicle_id"), "change_kind")
 
 

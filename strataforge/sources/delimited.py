@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from strataforge.operators.staging import DatasetContract
 from strataforge.schema import strings
+from strataforge.session import materialise
 
 # The names of delimiters.
 DELIMITERS = {"comma": ",", "csv": ",", "tab": "\t", "tsv": "\t", "pipe": "|"}
@@ -188,11 +189,11 @@ def _numbered(rows: DataFrame, first_column: str) -> DataFrame:
     """rows with their file's name, path and time and their place in it, the header being row 1."""
     data = [F.col(f"`{c}`") for c in rows.columns]
     placed = rows.select(*data, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"), F.col("_metadata").alias("_meta"), F.monotonically_increasing_id().alias("_id"))
-    # One row for each split; Spark chooses how to join it by its size.
+    # One row for each split; read from a file its size is known, and Spark joins it without a shuffle of the rows.
     splits = placed.groupBy("_path", "_start").agg(F.count(F.lit(1)).alias("_rows"), F.count(F.col(f"`{first_column}`")).alias("_filled"), F.min("_id").alias("_first"))
     before = F.sum("_rows").over(Window.partitionBy("_path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1))
     offsets = splits.select(F.col("_path").alias("_p"), F.col("_start").alias("_s"), "_first", F.coalesce(before, F.lit(0)).alias("_before"))
-    met = placed.join(offsets, (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s")))
+    met = placed.join(materialise(offsets, "splits"), (F.col("_path") == F.col("_p")) & (F.col("_start") == F.col("_s")))
     return met.select(
         *data, F.col("_meta.file_name").alias("_source_file_name"), F.col("_path").alias("_source_file_path"),
         F.date_format("_meta.file_modification_time", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX").alias("_source_file_modified_at"), (F.col("_id") - F.col("_first") + F.col("_before") + 2).cast("string").alias("_source_row_number"),

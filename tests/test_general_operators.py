@@ -68,8 +68,9 @@ def test_changes_fold_in_any_order(spark):
 
 def _diff(spark, rows):
     df = spark.createDataFrame(rows, "k string, b date, latest boolean, h string, i int, n int")
-    rec = snapshot_records(df, key=F.col("k"), batch="b", is_record=is_true(F.col("latest")), record_hash=F.col("h"), order=[F.col("i")])
-    return {(str(r.b), r.key, r.change_kind) for r in diff_snapshots(rec, snapshot_calendar(df, "b"), "b").collect()}
+    calendar = snapshot_calendar(df, "b")
+    rec = snapshot_records(df, calendar, key=F.col("k"), batch="b", is_record=is_true(F.col("latest")), record_hash=F.col("h"), order=[F.col("i")])
+    return {(str(r.b), r.key, r.change_kind) for r in diff_snapshots(rec, calendar, "b").collect()}
 
 
 def test_snapshot_diff(spark):
